@@ -84,7 +84,7 @@ def band_keys(texts: list[np.ndarray], bands: int, rows: int, size: int = SHINGL
     for b, seed in enumerate(seeds(bands * rows).reshape(bands, rows)):
         key = np.full(len(texts), b + 1, np.uint64)
         for s in seed:
-            key = mixed(key * _ODD + np.minimum.reduceat(mixed(values * s), starts))
+            key = mixed(key * _ODD + np.minimum.reduceat(values * s, starts))  # the values are mixed already
         keys[:, b] = key
     return keys.view(np.int64)
 
