@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import token_queries, truncation_queries
+from millrace.llm import representative_queries, token_queries, truncation_queries
 
-_GROUPS = [token_queries, truncation_queries]
+_GROUPS = [representative_queries, token_queries, truncation_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
