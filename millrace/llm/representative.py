@@ -17,8 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.components import connected_components
 from millrace.llm.truncation import truncated_values
+from millrace.operators.components import connected_components
+from millrace.tables import stored
 
 FIELDS = ("title", "author", "published_at")
 
@@ -52,9 +53,9 @@ def story_groups(clusters: DataFrame, selections: DataFrame, articles: DataFrame
     groups = selections.select(F.explode("duplicate_groups").alias("g"))
     grouped = groups.select(F.array_union(F.array("g.representative_id"), F.coalesce("g.duplicate_ids", F.array().cast("array<string>"))).alias("ids"))
     sets = clustered.union(grouped).withColumn("set_id", F.md5(F.to_json("ids"))).dropDuplicates(["set_id"])
-    members = sets.select("set_id", F.explode(F.array_distinct("ids")).alias("id")).join(articles.select(F.col("article_id").alias("id")).distinct(), "id", "left_semi")
+    members = stored(sets.select("set_id", F.explode(F.array_distinct("ids")).alias("id")).join(articles.select(F.col("article_id").alias("id")).distinct(), "id", "left_semi"))
     heads = members.groupBy("set_id").agg(F.min("id").alias("head"))
-    roots = connected_components(members.join(heads, "set_id").select("head", "id"), "head", "id")
+    roots = stored(connected_components(stored(members.join(heads, "set_id").select("head", "id")), "head", "id"))
     several = roots.groupBy("root").agg(F.count("*").alias("n")).where("n >= 2")
     return roots.join(several, "root", "left_semi").select(F.col("id").alias("article_id"), F.col("root").alias("group_id"))
 
@@ -112,8 +113,8 @@ def surviving_records(clusters: DataFrame, selections: DataFrame, articles: Data
     groups = story_groups(clusters, selections, articles)
     trust = sources.groupBy("source_id").agg(F.min("trust_rank").alias("trust_rank"))
     rows = articles.select("article_no", "article_id", "source_id", "title", "author", "published_at", "fetched_at")
-    members = rows.join(groups, "article_id")
-    cut = cut_titles(members).withColumn("cut", F.lit(True))
+    members = stored(rows.join(groups, "article_id"))
+    cut = stored(cut_titles(members)).withColumn("cut", F.lit(True))
     judged = members.join(cut, "article_no", "left").join(trust, "source_id", "left").select(
         "group_id", "article_id", "trust_rank", "fetched_at",
         (named(F.col("title")) & F.col("cut").isNull()).alias("title"), named(F.col("author")).alias("author"),
