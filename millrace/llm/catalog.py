@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import boilerplate_queries, history_queries, language_queries, representative_queries, token_queries, truncation_queries
+from millrace.llm import boilerplate_queries, history_queries, language_queries, packing_queries, representative_queries, token_queries, truncation_queries
 
-_GROUPS = [boilerplate_queries, history_queries, language_queries, representative_queries, token_queries, truncation_queries]
+_GROUPS = [boilerplate_queries, history_queries, language_queries, packing_queries, representative_queries, token_queries, truncation_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -119,7 +119,7 @@ class Encoder:
 
     def _ready(self) -> None:
         self.findall = regex.compile(self.pattern).findall
-        self.spans, self.memo = Memo(self._merge), Memo(self._pretoken)
+        self.spans, self.memo, self.lengths = Memo(self._merge), Memo(self._pretoken), Memo(lambda t: len(self._pretoken(t)))
 
     def __getstate__(self):
         return {"entries": self.entries, "pattern": self.pattern, "joined": self.joined, "pairs": self.pairs}
@@ -169,13 +169,19 @@ class Encoder:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
-        if len(self.memo) > MEMO or len(self.spans) > MEMO:
-            self.memo.clear()
-            self.spans.clear()
+        self._trim()
         return np.fromiter(chain.from_iterable(map(self.memo.__getitem__, self.findall(text))), np.int32)
 
+    def _trim(self) -> None:
+        if len(self.memo) > MEMO or len(self.spans) > MEMO or len(self.lengths) > MEMO:
+            for memo in (self.memo, self.spans, self.lengths):
+                memo.clear()
+
     def count(self, text: str | None) -> int:
-        return len(self.encode(text))
+        if not text:
+            return 0
+        self._trim()
+        return sum(map(self.lengths.__getitem__, self.findall(text)))
 
 
 @lru_cache(maxsize=4)
