@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import instants
+from millrace.plans import articles, instants, selection
 
-FLAGSHIP = "p4_found"
-_GROUPS = [instants]
+FLAGSHIP = "story_heads"
+_GROUPS = [instants, articles, selection]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
