@@ -34,6 +34,7 @@ from pyspark.sql import Window
 from millrace.functions.urls import canonical
 from millrace.llm.boilerplate import chrome_lines
 from millrace.llm.words import WORD, WordHashes
+from millrace.operators.greedy import resolve
 from millrace.tables import shared_dir, stored
 
 COVERAGE, SIMILARITY = 0.2, 0.75
@@ -102,32 +103,6 @@ class History:
         return self.spark.table(table) if self.spark.catalog.tableExists(table) else None
 
 
-def resolve(claims: DataFrame, probes: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
-    """(ord, first): for every record the first accepted one that it repeats, null if it is accepted itself.
-
-    claims(ord, key) are the keys under which others find a record, probes(ord, key) those under which it looks for
-    earlier ones (its claims among them); accepted(key, ord) are those of the history. Each round decides every record
-    whose earlier matches are decided; the lowest open record always is, so rounds end.
-    """
-    open_ = stored(probes.select("ord").distinct())
-    known = claims.limit(0).select("key", "ord") if accepted is None else accepted.select("key", "ord")
-    done: list[DataFrame] = []
-    while True:
-        waiting = claims.join(open_, "ord", "left_semi").groupBy("key").agg(F.min("ord").alias("waits"))
-        ready = reduce(DataFrame.union, [known, *[claims.join(d, "ord", "left_semi").select("key", "ord") for d in done]]).groupBy("key").agg(F.min("ord").alias("has"))
-        looked = probes.join(open_, "ord", "left_semi").join(waiting, "key", "left").join(ready, "key", "left")
-        state = looked.groupBy("ord").agg(F.min("waits").alias("waits"), F.min("has").alias("has"))
-        state = stored(state.select("ord", (F.col("has") < F.col("ord")).alias("repeats"), (F.coalesce(F.col("waits"), F.col("ord")) >= F.col("ord")).alias("free")))
-        done.append(state.where("free and not coalesce(repeats, false)").select("ord"))
-        open_ = stored(state.where("not free and not coalesce(repeats, false)").select("ord"))
-        if open_.isEmpty():
-            break
-    taken = reduce(DataFrame.union, done)
-    have = known.union(claims.join(taken, "ord", "left_semi").select("key", "ord")).groupBy("key").agg(F.min("ord").alias("has"))
-    first = probes.join(have, "key", "left").groupBy("ord").agg(F.min("has").alias("first"))
-    return first.select("ord", F.when(F.col("first") < F.col("ord"), F.col("first")).alias("first"))
-
-
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []

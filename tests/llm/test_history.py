@@ -80,19 +80,5 @@ def test_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == brute_force(records, articles, bodies)
 
 
-def test_resolve_is_the_sequential_greedy_set(spark):
-    rng = random.Random(8)
-    claims = [(o, rng.randrange(12)) for o in range(25) for _ in range(rng.randint(1, 2))]
-    expected, have = {}, {}
-    for o in range(25):
-        own = [k for x, k in claims if x == o]
-        hits = [have[k] for k in own if k in have]
-        expected[o] = min(hits) if hits else None
-        if not hits:
-            have.update(dict.fromkeys(own, o))
-    table = spark.createDataFrame(claims, "ord long, key long").distinct()
-    assert {x.ord: x["first"] for x in H.resolve(table, table).collect()} == expected
-
-
 def test_empty(spark):
     assert H.repeated_records(spark.createDataFrame([], RECORDS), spark.createDataFrame([], ARTICLES)).collect() == []
