@@ -79,8 +79,8 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_bodies(articles: DataFrame) -> DataFrame:
     """(article_no, body, n_words, units, weights, words): the hashed main body of every article; `body` is null if it
-    has fewer than BODY words. Spelling of case, blanks, quotes and punctuation doesn't count."""
-    articles = articles.where("article_no is not null").dropDuplicates(["article_no"])
+    has fewer than BODY words. Spelling of case, blanks, quotes and punctuation doesn't count; repeated rows stay."""
+    articles = articles.where("article_no is not null")
     chrome = chrome_lines(articles).groupBy("article_no").agg(F.collect_set("line_no").alias("chrome"))
     rows = articles.select("article_no", F.col("body_text").cast("string").alias("body_text")).join(chrome, "article_no", "left")
     return rows.mapInArrow(_bodies, "article_no bigint, body bigint, n_words int, units array<bigint>, weights array<int>, words array<int>")
@@ -135,13 +135,11 @@ def _rare_units(bodies: DataFrame, counts: DataFrame) -> DataFrame:
 def check_batch(records: DataFrame, bodies: DataFrame, history: History) -> DataFrame:
     """(first_record, record) of the batch's repeats; its accepted records join the history.
 
-    records(ord, url_key, hash_key, body): `ord` is the order over all batches, keys may be null. bodies(body, n_words,
-    units, weights, words): the batch's distinct main bodies.
+    records(ord, url_key, hash_key, body): `ord` is the order over all batches, keys may be null. bodies(body, ord, n_words,
+    units, weights, words): the batch's distinct main bodies with their first record.
     """
     own = F.explode(F.array_distinct(F.array_compact(F.array("url_key", "hash_key", "body"))))
     claims = stored(records.select("ord", own.alias("key")))
-    firsts = records.where("body is not null").groupBy("body").agg(F.min("ord").alias("ord"))
-    bodies = stored(bodies.join(firsts, "body"))
     past_keys, past_units, past_bodies = (history.read(w) for w in ("keys", "units", "bodies"))
     past = None
     if past_keys is not None:
@@ -193,24 +191,29 @@ def repeated_records(records: DataFrame, articles: DataFrame, step: int = STEP,
     spark = records.sparkSession
     history = history or History(spark)
     bodies = stored(main_bodies(articles))
-    linked = articles.select("article_no", F.col("content_hash").alias("own_hash")).where("article_no is not null").dropDuplicates(["article_no"])
+    linked = articles.where("article_no is not null").groupBy("article_no").agg(F.min("content_hash").alias("own_hash"))
+    hashed = stored(bodies.groupBy("article_no").agg(F.min("body").alias("body"), F.count("*").alias("n")))
+    if not hashed.where("n > 1").isEmpty():
+        bodies = bodies.dropDuplicates(["article_no"])  # rarely needed, so the bodies aren't shuffled for it each time
+    hashed = hashed.drop("n")
     base = records.where("record_no is not null").select("record_no", "batch_no", "article_no", "canonical_url", "content_hash")
-    base = base.join(linked, "article_no", "left").join(bodies.select("article_no", "body"), "article_no", "left")
+    base = base.join(linked, "article_no", "left").join(hashed, "article_no", "left")
     url = F.nullif(F.trim("canonical_url"), F.lit(""))
     # An order that fits one number: batches first, records within.
     order = F.coalesce(F.col("batch_no").cast("long"), F.lit(-1)) * F.lit(1 << 40) + F.col("record_no")
     keyed = base.withColumn("c", canonical(F.col("canonical_url"))).select(
-        order.alias("ord"), "batch_no",
+        order.alias("ord"), "batch_no", "article_no",
         F.xxhash64(F.lit("url"), F.coalesce("c.url", url)).alias("url_key"), F.coalesce("c.url", url).isNotNull().alias("has_url"),
         F.xxhash64(F.lit("hash"), F.coalesce("content_hash", "own_hash")).alias("hash_key"), F.coalesce("content_hash", "own_hash").isNotNull().alias("has_hash"), "body",
     )
-    keyed = stored(keyed.select("ord", "batch_no", F.when(F.col("has_url"), F.col("url_key")).alias("url_key"), F.when(F.col("has_hash"), F.col("hash_key")).alias("hash_key"), "body"))
+    keyed = stored(keyed.select("ord", "batch_no", "article_no", F.when(F.col("has_url"), F.col("url_key")).alias("url_key"), F.when(F.col("has_hash"), F.col("hash_key")).alias("hash_key"), "body"))
     low, high = keyed.agg(F.min(F.coalesce("batch_no", F.lit(-1))), F.max(F.coalesce("batch_no", F.lit(-1)))).first()
     found = []
     for start in range(low, high + 1, step) if low is not None else ():
         batch = stored(keyed.where(F.coalesce("batch_no", F.lit(-1)).between(start, start + step - 1)))
-        own = bodies.where("body is not null").join(batch.select("body").distinct(), "body", "left_semi").dropDuplicates(["body"])
-        found.append(check_batch(batch, own, history))
+        firsts = batch.where("body is not null").groupBy("body").agg(F.min(F.struct("ord", "article_no")).alias("f")).select("body", "f.*")
+        own = stored(bodies.join(stored(firsts), ["article_no", "body"]).drop("article_no"))
+        found.append(check_batch(batch.drop("article_no"), own, history))
     if not found:
         return spark.createDataFrame([], "first_record_no bigint, record_no bigint")
     mask = F.lit((1 << 40) - 1)
