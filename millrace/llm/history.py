@@ -82,7 +82,7 @@ def main_bodies(articles: DataFrame) -> DataFrame:
     has fewer than BODY words. Spelling of case, blanks, quotes and punctuation doesn't count; repeated rows stay."""
     articles = articles.where("article_no is not null")
     chrome = chrome_lines(articles).groupBy("article_no").agg(F.collect_set("line_no").alias("chrome"))
-    rows = articles.select("article_no", F.col("body_text").cast("string").alias("body_text")).join(chrome, "article_no", "left")
+    rows = articles.select("article_no", F.col("body_text").cast("string").alias("body_text")).join(chrome.hint("shuffle_hash"), "article_no", "left")
     return rows.mapInArrow(_bodies, "article_no bigint, body bigint, n_words int, units array<bigint>, weights array<int>, words array<int>")
 
 
@@ -98,6 +98,12 @@ class History:
         spread = rows.repartition(self.buckets, by)
         spread.write.mode("append").option("compression", "zstd").option("path", f"{self.folder}/{what}").bucketBy(self.buckets, by).sortBy(by).saveAsTable(table)
 
+    def staged(self, rows: DataFrame, by: str) -> DataFrame:
+        """`rows` as a bucketed table of their own, so that later joins on `by` don't shuffle them again."""
+        what = f"batch_{uuid.uuid4().hex[:8]}"
+        self.append(what, rows, by)
+        return self.spark.table(f"{self.name}_{what}")
+
     def read(self, what: str) -> DataFrame | None:
         table = f"{self.name}_{what}"
         return self.spark.table(table) if self.spark.catalog.tableExists(table) else None
@@ -120,7 +126,9 @@ def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """(body, other) of the pairs whose words are SIMILARITY the same."""
     pairs = stored(pairs)
     near = F.col("n_words").between(F.col("m_words") * SIMILARITY, F.col("m_words") / SIMILARITY)
-    both = pairs.join(left.select("body", "n_words", "words"), "body").join(right.select(F.col("body").alias("other"), F.col("n_words").alias("m_words"), F.col("words").alias("others")), "other")
+    # The pairs are few beside the bodies: they are hashed, so the bucketed bodies are neither shuffled nor sorted.
+    mine = pairs.hint("shuffle_hash").join(left.select("body", "n_words", "words"), "body")
+    both = mine.hint("shuffle_hash").join(right.select(F.col("body").alias("other"), F.col("n_words").alias("m_words"), F.col("words").alias("others")), "other")
     return stored(both.where(near).select("body", "other", "words", "others").mapInArrow(_similar, "body bigint, other bigint"))
 
 
@@ -212,7 +220,7 @@ def repeated_records(records: DataFrame, articles: DataFrame, step: int = STEP,
     for start in range(low, high + 1, step) if low is not None else ():
         batch = stored(keyed.where(F.coalesce("batch_no", F.lit(-1)).between(start, start + step - 1)))
         firsts = batch.where("body is not null").groupBy("body").agg(F.min(F.struct("ord", "article_no")).alias("f")).select("body", "f.*")
-        own = stored(bodies.join(stored(firsts), ["article_no", "body"]).drop("article_no"))
+        own = history.staged(bodies.join(stored(firsts).hint("shuffle_hash"), ["article_no", "body"]).drop("article_no"), "body")
         found.append(check_batch(batch.drop("article_no"), own, history))
     if not found:
         return spark.createDataFrame([], "first_record_no bigint, record_no bigint")
