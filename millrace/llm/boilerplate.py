@@ -33,9 +33,11 @@ COPY = 0.55
 #: Pages of a host that must share a line, at least and as a share of the host's pages.
 PAGES, PAGE_SHARE = 3, 0.002
 #: A line spread evenly over more than this part of the hosts (and more than HOSTS of them) belongs to no site.
-HOST_SHARE, HOSTS = 0.4, 6
+HOST_SHARE, HOSTS = 0.36, 6
 
 _DIGITS = re.compile(r"\d+")
+#: Characters that only spell a line differently.
+_SPELLING = str.maketrans({**dict.fromkeys("​‌‍⁠﻿­"), "’": "'", "‘": "'", "“": '"', "”": '"'})
 # Weekdays, which change in a site's lines as numbers do.
 _WEEKDAYS = re.compile(
     r"\b(?:(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day|Montag|Dienstag|Mittwoch|Donnerstag|Freitag|Samstag|Sonntag|lundi|mardi|mercredi|jeudi|vendredi|samedi|dimanche"
@@ -47,7 +49,8 @@ _CRUMB = re.compile(r"^(.*(?:›|»|→|::)\s*)[^›»→]*$")
 _MINUTES = re.compile(r"^.{3,}[·|—–-]\s*0\s?(?:min|minutes?|Min\.?|分)\b.{0,12}$")
 _DATED = re.compile(r"^(?:[-*•]\s+)?(?:0\.0\.0|0/0/0|0-0-0|0年0月0日)\s+\S.{2,}[^.!?。！？]$")
 _TAGS = re.compile(r"^#[^\W_]\w*(?:\s+#[^\W_]\w*)*$")
-_SENTENCE = re.compile(r"^(.{6,120}?[.!?。！？])\s+\S")
+#: The first sentence, and the first two, of a line that goes on: sites join their notices in one line.
+_SENTENCE = re.compile(r"^((.{6,120}?[.!?。！？])(?:\s+.{6,120}?[.!?。！？])?)\s+\S")
 _LEAD = re.compile(r"^(?:[-*•]\s+)?(?:\d{1,2}[./]\d{1,2}[./]\d{4}\s+)?")
 _CODE = re.compile(r"[={}<>\[\]]|\(\)|^[>$#|\"'`/]|^\s|^(?:def|return|import|class|for|if)\b|: ok\b")
 _HEADLINE_END = re.compile(r"[^\s.!?。！？,;:{}()\[\]\"`|]$")
@@ -55,7 +58,7 @@ _HEADLINE_END = re.compile(r"[^\s.!?。！？,;:{}()\[\]\"`|]$")
 
 def masked(line: str) -> str:
     """`line` without what changes from page to page."""
-    text = _WEEKDAYS.sub("0", _DIGITS.sub("0", line.strip()))
+    text = _WEEKDAYS.sub("0", _DIGITS.sub("0", " ".join(line.translate(_SPELLING).split())))
     if _TAGS.match(text):
         return TAGS
     if _MINUTES.match(text):
@@ -78,7 +81,7 @@ def _hash(text: str) -> int:
 
 def _page_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        numbers, keys, firsts, heads, hashes, offsets = [], [], [], [], [], [0]
+        numbers, keys, firsts, seconds, heads, hashes, offsets = [], [], [], [], [], [], [0]
         for body in batch.column(3).to_pylist():
             for no, line in enumerate((body or "").split("\n"), 1):
                 if not line.strip():
@@ -87,18 +90,19 @@ def _page_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = _SENTENCE.match(text) if len(text) < 300 else None
                 numbers.append(no)
                 keys.append(_hash(text))
-                firsts.append(_hash(first[1]) if first else 0)
+                firsts.append(_hash(first[2]) if first else 0)
+                seconds.append(_hash(first[1]) if first else 0)
                 heads.append(headline(line))
             offsets.append(len(numbers))
             hashes.append(_hash(body or ""))
         offsets = pa.array(offsets, pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in ((numbers, pa.int32()), (keys, pa.int64()), (firsts, pa.int64()), (heads, pa.bool_()))]
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in ((numbers, pa.int32()), (keys, pa.int64()), (firsts, pa.int64()), (seconds, pa.int64()), (heads, pa.bool_()))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(hashes, pa.int64()), *lists],
-                                         names=["page", "host", "path", "body_hash", "line_nos", "keys", "firsts", "headlines"])
+                                         names=["page", "host", "path", "body_hash", "line_nos", "keys", "firsts", "seconds", "headlines"])
 
 
 def page_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical_url", body: str = "body_text") -> DataFrame:
-    """(page, host, path, body_hash, line_nos, keys, firsts, headlines): the non-blank lines of every page as hashes.
+    """(page, host, path, body_hash, line_nos, keys, firsts, seconds, headlines): the non-blank lines of every page as hashes.
 
     Lines are split at line feeds and numbered from 1. A page without a readable host has the host ''.
     """
@@ -108,7 +112,7 @@ def page_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical
         F.regexp_extract(address, r"^\s*[a-z][a-z0-9+.-]*://[^/?#\s]*(.*)$", 1).alias("path"), F.col(body).cast("string").alias("body"),
     )
     kind = rows.schema["page"].dataType.simpleString()
-    return rows.mapInArrow(_page_lines, f"page {kind}, host string, path string, body_hash bigint, line_nos array<int>, keys array<bigint>, firsts array<bigint>, headlines array<boolean>")
+    return rows.mapInArrow(_page_lines, f"page {kind}, host string, path string, body_hash bigint, line_nos array<int>, keys array<bigint>, firsts array<bigint>, seconds array<bigint>, headlines array<boolean>")
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -201,10 +205,10 @@ def chrome_lines(pages: DataFrame, page: str = "article_no", url: str = "canonic
     """
     lines = stored(page_lines(pages, page, url, body)) if lines is None else lines
     site = stored(site_lines(lines))
-    each = lines.select("page", F.explode(F.arrays_zip("line_nos", "keys", "firsts", "headlines")).alias("l")).select("page", "l.*")
-    first = site.select(F.col("key").alias("firsts"), F.lit(True).alias("starts"))
-    judged = each.join(site.withColumn("own", F.lit(True)), each["keys"] == site["key"], "left").join(first, "firsts", "left")
-    judged = judged.select("page", F.col("line_nos").alias("line_no"), (F.col("own").isNotNull() | F.col("starts").isNotNull()).alias("own"), F.coalesce("header", F.lit(False)).alias("header"), "headlines")
+    each = lines.select("page", F.explode(F.arrays_zip("line_nos", "keys", "firsts", "seconds", "headlines")).alias("l")).select("page", "l.*")
+    first, second = (site.select(F.col("key").alias(c), F.lit(True).alias(f"{c}_own")) for c in ("firsts", "seconds"))
+    judged = each.join(site.withColumn("own", F.lit(True)), each["keys"] == site["key"], "left").join(first, "firsts", "left").join(second, "seconds", "left")
+    judged = judged.select("page", F.col("line_nos").alias("line_no"), F.coalesce("own", "firsts_own", "seconds_own", F.lit(False)).alias("own"), F.coalesce("header", F.lit(False)).alias("header"), "headlines")
     judged = judged.where(F.col("own") | F.col("headlines"))
     # Headlines in a row (blank lines break it) are chrome if a header stands right before them.
     by_page = judged.groupBy("page").agg(F.collect_set(F.when(F.col("own"), F.col("line_no"))).alias("own"), F.collect_set(F.when(F.col("header"), F.col("line_no"))).alias("headers"),
