@@ -30,7 +30,7 @@ def resolve(claims: DataFrame, probes: DataFrame, accepted: DataFrame | None = N
         state = looked.groupBy("ord").agg(F.min("waits").alias("waits"), F.min("has").alias("has"))
         state = stored(state.select("ord", (F.col("has") < F.col("ord")).alias("repeats"), (F.coalesce(F.col("waits"), F.col("ord")) >= F.col("ord")).alias("free")))
         done.append(state.where("free and not coalesce(repeats, false)").select("ord"))
-        open_ = stored(state.where("not free and not coalesce(repeats, false)").select("ord"))
+        open_ = state.where("not free and not coalesce(repeats, false)").select("ord")
     have = reduce(DataFrame.union, [known, *[claims.join(d, "ord", "left_semi").select("key", "ord") for d in done]]).groupBy("key").agg(F.min("ord").alias("has"))
     first = probes.join(have, "key", "left").groupBy("ord").agg(F.min("has").alias("first"))
     return first.select("ord", F.when(F.col("first") < F.col("ord"), F.col("first")).alias("first"))
