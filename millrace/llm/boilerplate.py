@@ -35,6 +35,9 @@ PAGES, PAGE_SHARE = 3, 0.002
 #: A line spread evenly over more than this part of the hosts (and more than HOSTS of them) belongs to no site.
 HOST_SHARE, HOSTS = 0.36, 6
 
+#: Characters of a line up to which weekdays are masked; a notice is shorter than a paragraph.
+NOTICE = 160
+
 _DIGITS = re.compile(r"\d+")
 #: Characters that only spell a line differently.
 _SPELLING = str.maketrans({**dict.fromkeys("​‌‍⁠﻿­"), "’": "'", "‘": "'", "“": '"', "”": '"'})
@@ -58,15 +61,19 @@ _HEADLINE_END = re.compile(r"[^\s.!?。！？,;:{}()\[\]\"`|]$")
 
 def masked(line: str) -> str:
     """`line` without what changes from page to page."""
-    text = _WEEKDAYS.sub("0", _DIGITS.sub("0", " ".join(line.translate(_SPELLING).split())))
-    if _TAGS.match(text):
+    text = _DIGITS.sub("0", " ".join(line.translate(_SPELLING).split()))
+    if text[:1] == "#" and _TAGS.match(text):
         return TAGS
-    if _MINUTES.match(text):
-        return MINUTES
-    if _DATED.match(text):
-        return DATED
-    crumb = _CRUMB.match(text)
-    return crumb[1] + "*" if crumb else text
+    if "0" in text:
+        if ("min" in text or "Min" in text or "分" in text) and _MINUTES.match(text):
+            return MINUTES
+        if _DATED.match(text):
+            return DATED
+    if len(text) < NOTICE:
+        text = _WEEKDAYS.sub("0", text)
+    if any(c in text for c in ("›", "»", "→", "::")) and (crumb := _CRUMB.match(text)):
+        return crumb[1] + "*"
+    return text
 
 
 def headline(line: str) -> bool:

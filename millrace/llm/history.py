@@ -66,7 +66,7 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             units += found.keys()
             weights += found.values()
             offsets.append(len(units))
-            words.append(np.sort(np.array([memo[t] & 0x7FFFFFFF for t in body], np.int32)))
+            words.append((np.array(list(map(memo.__getitem__, body)), np.uint64) & np.uint64(0x7FFFFFFF)).astype(np.int32))
         memo.trim()
         offsets = pa.array(offsets, pa.int32())
         ends = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int32)
