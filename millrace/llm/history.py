@@ -4,7 +4,7 @@ The history is three bucketed tables in shared storage, and nothing else of earl
 
 * keys: hashes of the accepted records' canonical URLs, content hashes and main bodies (exact repeats);
 * units: hashes of the main bodies' sentences with their number of words (shared coverage);
-* bodies: the main bodies' word hashes (the exact check of near repeats).
+* bodies: the main bodies' word hashes (the exact check of near repeats), found through the units of accepted ones.
 
 A batch is hashed once and joined with them bucket by bucket, so the history isn't shuffled; then its accepted records
 are appended. Repeats follow the records' order: a record is accepted if it repeats no accepted earlier one. That set
@@ -98,12 +98,6 @@ class History:
         spread = rows.repartition(self.buckets, by)
         spread.write.mode("append").option("compression", "zstd").option("path", f"{self.folder}/{what}").bucketBy(self.buckets, by).sortBy(by).saveAsTable(table)
 
-    def staged(self, rows: DataFrame, by: str) -> DataFrame:
-        """`rows` as a bucketed table of their own, so that later joins on `by` don't shuffle them again."""
-        what = f"batch_{uuid.uuid4().hex[:8]}"
-        self.append(what, rows, by)
-        return self.spark.table(f"{self.name}_{what}")
-
     def read(self, what: str) -> DataFrame | None:
         table = f"{self.name}_{what}"
         return self.spark.table(table) if self.spark.catalog.tableExists(table) else None
@@ -181,9 +175,8 @@ def check_batch(records: DataFrame, bodies: DataFrame, history: History) -> Data
         edges.append(more)
     accepted = stored(records.join(taken, "ord", "left_semi"))
     history.append("keys", accepted.select("ord", own.alias("key")).select("key", "ord"), "key")
-    new = bodies.drop("ord").join(accepted.select("body").distinct(), "body", "left_semi")
+    new = bodies.select("body", "units").join(accepted.select("body").distinct(), "body", "left_semi")
     history.append("units", new.select(F.explode("units").alias("unit"), "body"), "unit")
-    history.append("bodies", new.select("body", "n_words", "words"), "body")
     return decided.where("first is not null").select(F.col("first").alias("first_record"), F.col("ord").alias("record"))
 
 
@@ -220,7 +213,9 @@ def repeated_records(records: DataFrame, articles: DataFrame, step: int = STEP,
     for start in range(low, high + 1, step) if low is not None else ():
         batch = stored(keyed.where(F.coalesce("batch_no", F.lit(-1)).between(start, start + step - 1)))
         firsts = batch.where("body is not null").groupBy("body").agg(F.min(F.struct("ord", "article_no")).alias("f")).select("body", "f.*")
-        own = history.staged(bodies.join(stored(firsts).hint("shuffle_hash"), ["article_no", "body"]).drop("article_no"), "body")
+        # The batch's bodies join the table of bodies at once; only accepted ones are ever found, through their units.
+        history.append("bodies", bodies.join(stored(firsts).hint("shuffle_hash"), ["article_no", "body"]).drop("article_no"), "body")
+        own = history.read("bodies").where(F.col("ord").between(max(start, -1) * (1 << 40), (start + step) * (1 << 40) - 1))
         found.append(check_batch(batch.drop("article_no"), own, history))
     if not found:
         return spark.createDataFrame([], "first_record_no bigint, record_no bigint")
