@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.urls import canonical_url
 from millrace.tables import stored
 
 #: Neighbours on each side that a page is compared with.
@@ -34,10 +35,13 @@ COPY = 0.55
 PAGES, PAGE_SHARE = 3, 0.002
 #: A line spread evenly over more than this part of the hosts (and more than HOSTS of them) belongs to no site.
 HOST_SHARE, HOSTS = 0.36, 6
+#: A host counts fully if it has more pages than this part of a typical page's host, and hardly if it has fewer.
+SMALL_HOST = 0.1
 
 #: Characters of a line up to which weekdays are masked; a notice is shorter than a paragraph.
 NOTICE = 160
 
+_ADDRESS = re.compile(r"\s*[a-z][a-z0-9+.-]*://([^/?#\s]*)(.*)", re.S)
 _DIGITS = re.compile(r"\d+")
 #: Characters that only spell a line differently.
 _SPELLING = str.maketrans({**dict.fromkeys("​‌‍⁠﻿­"), "’": "'", "‘": "'", "“": '"', "”": '"'})
@@ -86,10 +90,17 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
+def host_and_path(url: str | None) -> tuple[str, str]:
+    """Of the canonical URL, so that spellings of a host are one; of `url` itself where it has none."""
+    address = _ADDRESS.match((canonical_url(url)[0] or url or "").lower())
+    return (address[1], address[2]) if address else ("", "")
+
+
 def _page_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         numbers, keys, firsts, seconds, heads, hashes, offsets = [], [], [], [], [], [], [0]
-        for body in batch.column(3).to_pylist():
+        places = [host_and_path(u) for u in batch.column(1).to_pylist()]
+        for body in batch.column(2).to_pylist():
             for no, line in enumerate((body or "").split("\n"), 1):
                 if not line.strip():
                     continue
@@ -104,7 +115,8 @@ def _page_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes.append(_hash(body or ""))
         offsets = pa.array(offsets, pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in ((numbers, pa.int32()), (keys, pa.int64()), (firsts, pa.int64()), (seconds, pa.int64()), (heads, pa.bool_()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(hashes, pa.int64()), *lists],
+        host, path = (pa.array([p[k] for p in places], pa.string()) for k in range(2))
+        yield pa.RecordBatch.from_arrays([batch.column(0), host, path, pa.array(hashes, pa.int64()), *lists],
                                          names=["page", "host", "path", "body_hash", "line_nos", "keys", "firsts", "seconds", "headlines"])
 
 
@@ -113,11 +125,7 @@ def page_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical
 
     Lines are split at line feeds and numbered from 1. A page without a readable host has the host ''.
     """
-    address = F.lower(F.coalesce(F.col(url).cast("string"), F.lit("")))
-    rows = pages.select(
-        F.col(page).alias("page"), F.regexp_extract(address, r"^\s*[a-z][a-z0-9+.-]*://([^/?#\s]*)", 1).alias("host"),
-        F.regexp_extract(address, r"^\s*[a-z][a-z0-9+.-]*://[^/?#\s]*(.*)$", 1).alias("path"), F.col(body).cast("string").alias("body"),
-    )
+    rows = pages.select(F.col(page).alias("page"), F.col(url).cast("string").alias("url"), F.col(body).cast("string").alias("body"))
     kind = rows.schema["page"].dataType.simpleString()
     return rows.mapInArrow(_page_lines, f"page {kind}, host string, path string, body_hash bigint, line_nos array<int>, keys array<bigint>, firsts array<bigint>, seconds array<bigint>, headlines array<boolean>")
 
@@ -189,14 +197,19 @@ def site_lines(lines: DataFrame) -> DataFrame:
     votes = ordered.mapInArrow(_votes, "host string, key bigint, votes bigint, follows bigint")
     votes = stored(votes.groupBy("host", "key").agg(F.sum("votes").alias("votes"), F.sum("follows").alias("follows")))
     pages = votes.where("key is null").select("host", F.col("votes").alias("pages"))
-    hosts = pages.agg(F.count("*").alias("hosts")).withColumn("one", F.lit(1))
     enough = F.col("votes") >= F.greatest(F.lit(PAGES), F.col("pages") * PAGE_SHARE)
     shared = votes.where("key is not null").join(pages, "host").groupBy("key").agg(F.max(enough).alias("enough"), F.sum("votes").alias("votes"), F.sum("follows").alias("follows"))
     shared = stored(shared.where("enough"))
-    # How evenly the hosts have the line, counted over all pages: the effective number of hosts behind its rates.
+    # How evenly the hosts have the line, counted over all pages: the effective number of hosts behind its rates, beside
+    # that of a line on every page. Hosts weigh less the fewer pages they have; with fewer than PAGES they have no lines
+    # of their own and no weight.
     found = lines.select("host", F.explode(F.array_distinct("keys")).alias("key")).join(shared.select("key"), "key", "left_semi").groupBy("host", "key").agg(F.count("*").alias("n"))
-    sizes = lines.groupBy("host").agg(F.count("*").alias("all"))
-    spread = found.join(sizes, "host").withColumn("rate", F.col("n") / F.col("all")).groupBy("key").agg((F.sum("rate") ** 2 / F.sum(F.col("rate") ** 2)).alias("spread"))
+    sizes = stored(lines.groupBy("host").agg(F.count("*").alias("all")).where(F.col("all") >= PAGES))
+    typical = sizes.agg((F.sum(F.col("all") * F.col("all")) / F.sum("all") * SMALL_HOST).alias("small")).withColumn("one", F.lit(1))
+    weights = sizes.withColumn("one", F.lit(1)).join(typical, "one").select("host", "all", (1 / (1 + (F.col("small") / F.col("all")) ** 2)).alias("weight"))
+    effective = lambda rate: F.sum(rate) ** 2 / F.sum(rate**2)
+    hosts = weights.agg(effective(F.col("weight")).alias("hosts")).withColumn("one", F.lit(1))
+    spread = found.join(weights, "host").groupBy("key").agg(effective(F.col("n") / F.col("all") * F.col("weight")).alias("spread"))
     own = shared.join(spread, "key").withColumn("one", F.lit(1)).join(hosts, "one")
     own = own.where((F.col("spread") <= F.greatest(F.lit(HOSTS), F.col("hosts") * HOST_SHARE)) | F.col("key").isin([_hash(m) for m in (TAGS, MINUTES, DATED)]))
     return own.select("key", (F.col("follows") * 2 > F.col("votes")).alias("header"))

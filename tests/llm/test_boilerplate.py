@@ -66,6 +66,16 @@ def test_sites(spark):
     assert len(got & expected) > 0.97 * len(expected) and len(got - expected) < 0.01 * len(expected)
 
 
+def test_hosts_of_few_pages_and_spellings_move_no_limit(spark):
+    rows, chrome = pages()
+    before = run(spark, rows)
+    spelt = [(no, url.replace(site := url.split("/")[2], site.upper() + (":443", ".", ".:443")[no % 3]) if no % 5 == 0 else url, body) for no, url, body in rows]
+    tiny = [(20_000 + k, f"https://tiny{k}.example/a", f"Results\nNothing like word{k} was seen.\nMethod\n{k}") for k in range(300)]
+    assert B.host_and_path("HTTPS://One.Example.:443/A?utm_source=x") == ("one.example", "/a") and B.host_and_path("no url") == B.host_and_path(None) == ("", "")
+    assert run(spark, spelt) == before
+    assert run(spark, rows + tiny) == before
+
+
 def test_empty_and_clashing_columns(spark):
     assert run(spark, []) == set()
     assert run(spark, [(1, "https://a.example/x", "One line.", "clash", 1, "k")], SCHEMA + ", page string, line_no int, keys string") == set()
