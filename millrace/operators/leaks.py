@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,8 @@ from millrace.tables import stored
 
 #: Characters of a passage, and of the grams whose hashes select its fingerprints.
 PASSAGE, GRAM = 64, 32
+#: Characters of the shortest secret, and of the grams of one shorter than a passage. A power of two.
+SHORT = 16
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -22,13 +24,23 @@ def fingerprints(text: str) -> np.ndarray:
     share one of them. A text shorter than that has none."""
     if len(text) < PASSAGE:
         return np.empty(0, np.uint64)
+    return np.unique(np.lib.stride_tricks.sliding_window_view(_grams(text, GRAM), PASSAGE - GRAM + 1).min(axis=1))
+
+
+def _grams(text: str, size: int) -> np.ndarray:
+    """A hash of every `size` characters in a row, `size` being a power of two."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
     grams, step, factor = points * _FACTOR, 1, _FACTOR
-    while step < GRAM:  # a gram's hash is put together from those of its halves
+    while step < size:  # a gram's hash is put together from those of its halves
         grams = grams[:-step] * factor + grams[step:]
         grams = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         step *= 2
-    return np.unique(np.lib.stride_tricks.sliding_window_view(grams, PASSAGE - GRAM + 1).min(axis=1))
+    return grams
+
+
+def short_prints(text: str) -> np.ndarray:
+    """Hashes of every SHORT characters in a row; a text shorter than that has none."""
+    return np.unique(_grams(text, SHORT)) if len(text) >= SHORT else np.empty(0, np.uint64)
 
 
 def share_passage(a: str, b: str) -> bool:
@@ -37,35 +49,67 @@ def share_passage(a: str, b: str) -> bool:
     return any(b[k : k + PASSAGE] in known for k in range(len(b) - PASSAGE + 1))
 
 
-def _selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [fingerprints(t or "") for t in batch.column(1).to_pylist()]
-        ends = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-        flat = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], names=["id", "prints"])
+def _known(prints: DataFrame) -> np.ndarray:
+    """A filter of fixed size, 2^24 bits in words of 64: the bit of each `print`, chosen by its upper 24 bits, is set."""
+    words = np.zeros(1 << 18, np.uint64)
+    rows = prints.groupBy(F.shiftrightunsigned("print", 46).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(shiftrightunsigned(print, 40) & 63 as int)))").alias("bits")).toArrow()
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def _among(known: np.ndarray) -> Callable[[str], np.ndarray]:
+    """Those of `short_prints` that may be known."""
+
+    def among(text: str) -> np.ndarray:
+        prints = short_prints(text)
+        return prints[(known[(prints >> np.uint64(46)).astype(np.int64)] >> ((prints >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) == 1]
+
+    return among
+
+
+def _selected(prints: Callable[[str], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [prints(t or "") for t in batch.column(1).to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
+            flat = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], names=["id", "prints"])
+
+    return select
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        mask = pa.array([share_passage(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
+        pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+        mask = pa.array([share_passage(a, b) if len(b) >= PASSAGE else b in a for a, b in pairs], pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["id", "secret_id"])
 
 
-def shared_passages(texts: DataFrame, secrets: DataFrame) -> DataFrame:
-    """(id, secret_id, secrets): every text that shares PASSAGE characters, blanks collapsed, with a secret one, the smallest
-    such secret and their number; texts(id, text), secrets(id, text), ids whole numbers.
+def shared_passages(texts: DataFrame, secrets: DataFrame, shortest: int = PASSAGE) -> DataFrame:
+    """(id, secret_id, secrets): every text that shares PASSAGE characters, blanks collapsed, with a secret one, or holds
+    whole one that is shorter but has `shortest` characters (SHORT at least); the smallest such secret and their number.
+    texts(id, text), secrets(id, text), ids whole numbers.
 
     Equal secrets and equal texts are compared once. Shorter and null texts share nothing; no rows, no rows.
     """
-    plain = lambda df: df.select(F.col("id").cast("long").alias("id"), F.trim(F.regexp_replace("text", rf"{SPACES}+", " ")).alias("text")).where(F.length("text") >= PASSAGE)
+    plain = lambda df: df.select(F.col("id").cast("long").alias("id"), F.trim(F.regexp_replace("text", rf"{SPACES}+", " ")).alias("text")).where(F.length("text") >= shortest)
     sides = []
     for side in (texts, secrets):
         all_ = plain(side).withColumn("copy", F.md5("text"))
         first = stored(all_.groupBy("copy").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.min_by("text", "id").alias("text")))
         sides.append((stored(all_.select("id", "copy")), first))
     (members, own), (_, secret) = sides
-    marked = lambda df: df.select("id", "text").mapInArrow(_selected, "id bigint, prints array<bigint>").select("id", F.explode("prints").alias("print"))
-    met = stored(marked(own).join(marked(secret).withColumnRenamed("id", "secret_id"), "print").select("id", "secret_id").distinct())
+    marked = lambda df, prints: df.select("id", "text").mapInArrow(_selected(prints), "id bigint, prints array<bigint>").select("id", F.explode("prints").alias("print"))
+    met = marked(own, fingerprints).join(marked(secret, fingerprints).withColumnRenamed("id", "secret_id"), "print").select("id", "secret_id")
+    if shortest < PASSAGE:
+        short = stored(marked(secret.where(F.length("text") < PASSAGE), short_prints).withColumnRenamed("id", "secret_id"))
+        # A text has about as many grams as characters; all but a few are dropped before they are shuffled.
+        held = stored(marked(own, _among(_known(short))).join(short.select("print").distinct(), "print", "left_semi"))
+        # A secret meets the texts that have its rarest gram; where no text has one of its grams, none holds it whole.
+        counts = held.groupBy("print").agg(F.count("*").alias("n"))
+        rarest = short.join(counts, "print", "left").groupBy("secret_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "print")).alias("r")).where("r.n > 0")
+        met = met.unionByName(held.join(rarest.select("secret_id", "r.print"), "print").select("id", "secret_id"))
+    met = stored(met.distinct())
     both = met.join(own.select("id", "text"), "id").join(secret.select(F.col("id").alias("secret_id"), F.col("text").alias("secret")), "secret_id")
     found = both.select("id", "secret_id", "text", "secret").mapInArrow(_checked, "id bigint, secret_id bigint").join(secret.select(F.col("id").alias("secret_id"), "copies"), "secret_id")
     by_text = found.groupBy("id").agg(F.min("secret_id").alias("secret_id"), F.sum("copies").alias("secrets"))

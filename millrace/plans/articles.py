@@ -9,7 +9,7 @@ from millrace.functions import text as X
 from millrace.functions.urls import canonical, site_of
 from millrace.operators.gates import gated, greedy_budget
 from millrace.operators.greedy import first_of_kind
-from millrace.operators.leaks import shared_passages
+from millrace.operators.leaks import PASSAGE, SHORT, shared_passages
 from millrace.operators.ranking import capped, keep_first, top_per_group
 from millrace.operators.stories import representatives, similar_classes, story_clusters, title_classes
 from millrace.tables import stored, table
@@ -179,9 +179,18 @@ def markup_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def leaked_passages(spark: SparkSession, d: str) -> DataFrame:
     """Documents that share 64 characters in a row with an item's summary, with the first such item."""
+    return _leaked(spark, d, PASSAGE)
+
+
+def leaked_texts(spark: SparkSession, d: str) -> DataFrame:
+    """As `leaked_passages`, and documents that hold whole a summary of 16 to 63 characters."""
+    return _leaked(spark, d, SHORT)
+
+
+def _leaked(spark: SparkSession, d: str, shortest: int) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     summaries = table(spark, d, "collected_item").select(F.col("item_no").alias("id"), F.col("feed_summary").alias("text"))
-    return shared_passages(docs, summaries).select(F.col("id").alias("doc_id"), F.col("secret_id").alias("item_no"), "secrets")
+    return shared_passages(docs, summaries, shortest).select(F.col("id").alias("doc_id"), F.col("secret_id").alias("item_no"), "secrets")
 
 
 QUERIES = {
@@ -189,7 +198,7 @@ QUERIES = {
     for f in (
         content_hashes, article_ids, summaries_plain, collapsed_titles, canonical_urls, records_per_site, exact_duplicates, accepted_records, unknown_items, fresh_articles, fresh_two_sided,
         newest_per_source, research_order, keyword_hits, items_of_kinds, item_article_join, gate_outcomes, exclusion_reasons, similar_titles, story_members, story_heads, document_paragraphs,
-        budgeted_paragraphs, titles_in_bodies, leaked_passages, redacted_documents, markup_counts,
+        budgeted_paragraphs, titles_in_bodies, leaked_passages, leaked_texts, redacted_documents, markup_counts,
     )
 }
 
@@ -246,6 +255,13 @@ ORACLES = {
         dw as (select distinct doc_id, substr(t, k::int, 64) as w from (select doc_id, t, unnest(range(1, length(t) - 62)) as k from d where length(t) >= 64)),
         sw as (select distinct item_no, substr(t, k::int, 64) as w from (select item_no, t, unnest(range(1, length(t) - 62)) as k from s where length(t) >= 64))
         select doc_id, min(item_no) as item_no, count(distinct item_no)::bigint as secrets from dw join sw using (w) group by doc_id""",
+    "leaked_texts": r"""with
+        d as (select doc_id, trim(regexp_replace(text, '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) as t from documents),
+        s as (select item_no, trim(regexp_replace(feed_summary, '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) as t from collected_item),
+        dw as (select distinct doc_id, substr(t, k::int, 64) as w from (select doc_id, t, unnest(range(1, length(t) - 62)) as k from d where length(t) >= 64)),
+        sw as (select distinct item_no, substr(t, k::int, 64) as w from (select item_no, t, unnest(range(1, length(t) - 62)) as k from s where length(t) >= 64)),
+        pairs as (select doc_id, item_no from dw join sw using (w) union select doc_id, item_no from s join d on contains(d.t, s.t) where length(s.t) between 16 and 63)
+        select doc_id, min(item_no) as item_no, count(distinct item_no)::bigint as secrets from pairs group by doc_id""",
     "redacted_documents": r"""select doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
         'sk-[a-z]+-[A-Za-z0-9_-]{8,}', '<redacted>', 'g'), '\b(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{20,}', '<redacted>', 'g'), '\bgithub_pat_[A-Za-z0-9_]{20,}', '<redacted>', 'g'),
         '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]{16,}', '<redacted>', 'g'), '\b[A-Z_]*OAUTH_TOKEN\s*=\s*\S+', '<redacted>', 'g'), 'https?://[^/\s@:]+:[^/\s]*@', '<redacted>', 'g'),

@@ -21,3 +21,12 @@ def test_table(spark):
     got = {r.id: (r.secret_id, r.secrets) for r in L.shared_passages(spark.createDataFrame(texts, "id long, text string"), spark.createDataFrame([(9, secret), (8, secret), (7, None)], "id long, text string")).collect()}
     assert got == {1: (8, 2), 4: (8, 2)}
     assert L.shared_passages(spark.createDataFrame([], "id long, text string"), spark.createDataFrame([], "id long, text string")).collect() == []
+
+
+def test_short_secrets_are_matched_whole(spark):
+    texts = [(1, "he said: the key is  kept\nbelow the mat, he said"), (2, "the key is kept below the ma"), (3, "fifteen letters"), (4, "東" * 40), (5, None)]
+    secrets = [(11, "the key is kept below the mat"), (10, "the key is kept  below the mat"), (12, "fifteen letters"), (13, "東" * 16), (14, "x" * 16), (15, None)]
+    table = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    got = {r.id: (r.secret_id, r.secrets) for r in L.shared_passages(table(texts), table(secrets), L.SHORT).collect()}
+    assert got == {1: (10, 2), 4: (13, 1)}
+    assert L.shared_passages(table(texts), table(secrets)).collect() == []
