@@ -10,30 +10,39 @@ from pyspark.sql import functions as F
 from millrace.tables import stored
 
 
-def resolve(claims: DataFrame, probes: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
+def resolve(claims: DataFrame, probes: DataFrame | None = None, accepted: DataFrame | None = None) -> DataFrame:
     """(ord, first): for every record the first accepted one that it repeats, null if it is accepted itself.
 
-    A record is accepted if no accepted earlier one shares a key with it; rejected ones block nothing. claims(ord, key)
-    are the keys under which others find a record, probes(ord, key) those under which it looks for earlier ones (its
-    claims among them); accepted(key, ord) are records settled before. Each round decides every record whose earlier
-    matches are decided; the lowest open one always is, so rounds end. Keys are pre-aggregated to their lowest record in
-    every round, so a key that most records share is no hot spot. Null keys and ords match nothing; no probes, no rows.
+    A record is accepted if no accepted earlier one shares a key with it; rejected ones block nothing. claims(ord, key): keys
+    under which a record is found and looks for others; probes(ord, key): further keys under which it looks for others;
+    accepted(key, ord): records settled before. `ord` may be of any type with an order. Each round settles every record whose earlier
+    matches are settled; the lowest open one always is, so rounds end. A record known to be rejected blocks others no
+    longer, but stays until it is sure which accepted one is its first. Keys are pre-aggregated to their lowest record in
+    every round, so a key that most records share is no hot spot, and a round reads open records only. Null keys and ords
+    match nothing; no keys, no rows.
     """
-    open_ = stored(probes.select("ord").where("ord is not null").distinct())
-    claims, probes = claims.where("key is not null"), probes.where("ord is not null")
-    known = claims.limit(0).select("key", "ord") if accepted is None else accepted.select("key", "ord")
-    done: list[DataFrame] = []
-    while not open_.isEmpty():
-        waiting = claims.join(open_, "ord", "left_semi").groupBy("key").agg(F.min("ord").alias("waits"))
-        ready = reduce(DataFrame.union, [known, *[claims.join(d, "ord", "left_semi").select("key", "ord") for d in done]]).groupBy("key").agg(F.min("ord").alias("has"))
-        looked = probes.join(open_, "ord", "left_semi").join(waiting, "key", "left").join(ready, "key", "left")
-        state = looked.groupBy("ord").agg(F.min("waits").alias("waits"), F.min("has").alias("has"))
-        state = stored(state.select("ord", (F.col("has") < F.col("ord")).alias("repeats"), (F.coalesce(F.col("waits"), F.col("ord")) >= F.col("ord")).alias("free")))
-        done.append(state.where("free and not coalesce(repeats, false)").select("ord"))
-        open_ = stored(state.where("not free and not coalesce(repeats, false)").select("ord"))
-    have = reduce(DataFrame.union, [known, *[claims.join(d, "ord", "left_semi").select("key", "ord") for d in done]]).groupBy("key").agg(F.min("ord").alias("has"))
-    first = probes.join(have, "key", "left").groupBy("ord").agg(F.min("has").alias("first"))
-    return first.select("ord", F.when(F.col("first") < F.col("ord"), F.col("first")).alias("first"))
+    keys = claims.select("ord", "key", F.lit(True).alias("claims"))
+    if probes is not None:
+        keys = keys.union(probes.select("ord", "key", F.lit(False)))
+    none = F.lit(None).cast(keys.schema["ord"].dataType)
+    # `has` is the least match of the record so far; `taken` holds what the round before has added to the accepted ones.
+    open_ = stored(keys.where("ord is not null").select("ord", "key", "claims", none.alias("has")))
+    taken = open_.select("key", "ord").limit(0) if accepted is None else accepted.select("key", "ord")
+    settled: list[DataFrame] = []
+    while not settled or not open_.isEmpty():
+        claiming = open_.where("claims and key is not null")
+        either = claiming.select("key", F.col("ord").alias("waits"), none.alias("new")).union(taken.select("key", none, "ord"))
+        by_key = either.groupBy("key").agg(F.min("waits").alias("waits"), F.min("new").alias("new"))
+        seen = open_.join(by_key, "key", "left").groupBy("ord").agg(F.min("waits").alias("waits"), F.min(F.least("has", "new")).alias("has"))
+        repeats = F.coalesce(F.col("has") < F.col("ord"), F.lit(False))
+        # Nothing that is open and stands before the record (before its match) could still be accepted.
+        sure = F.coalesce(F.col("waits") >= F.when(repeats, F.col("has")).otherwise(F.col("ord")), F.lit(True))
+        state = stored(seen.select("ord", repeats.alias("repeats"), sure.alias("sure"), F.when(repeats, F.col("has")).alias("first")))
+        settled.append(state.where("sure").select("ord", "first"))
+        taken = claiming.join(state.where("sure and not repeats"), "ord", "left_semi").select("key", "ord")
+        left = open_.drop("has").join(state.where("not sure").select("ord", "repeats", "first"), "ord")
+        open_ = stored(left.select("ord", "key", (F.col("claims") & ~F.col("repeats")).alias("claims"), F.col("first").alias("has")))
+    return reduce(DataFrame.union, settled)
 
 
 def first_of_kind(rows: DataFrame, order: str, keys: list[str]) -> DataFrame:
@@ -42,6 +51,5 @@ def first_of_kind(rows: DataFrame, order: str, keys: list[str]) -> DataFrame:
     `order` is a unique number. A row without keys is accepted.
     """
     long = rows.select(F.col(order).alias("ord"), F.explode(F.array(*[F.when(F.col(k).isNotNull(), F.xxhash64(F.lit(n), F.col(k).cast("string"))) for n, k in enumerate(keys)])).alias("key"))
-    long = stored(long)
-    found = resolve(long, long).withColumnRenamed("ord", order).withColumnRenamed("first", "repeats")
+    found = resolve(long).withColumnRenamed("ord", order).withColumnRenamed("first", "repeats")
     return rows.join(found, order, "left")

@@ -30,7 +30,7 @@ def accept_batch(batch: DataFrame, part: int, state_folder: str, out_folder: str
     long = stored(rows.select(F.col(order).alias("ord"), F.explode(F.array_compact(F.array(*[F.when(F.col(k).isNotNull(), F.xxhash64(F.lit(n), F.col(k).cast("string"))) for n, k in enumerate(keys)]))).alias("key")))
     before = accepted_state(spark, state_folder).where(F.col("part") < part).select("key", "ord")
     known = stored(before.join(long.select("key").distinct(), "key", "left_semi"))
-    repeats = resolve(long, long, known).where("first is not null").select(F.col("ord").alias(order))
+    repeats = resolve(long, accepted=known).where("first is not null").select(F.col("ord").alias(order))
     taken = stored(rows.join(repeats, order, "left_anti"))
     taken.write.mode("overwrite").parquet(f"{out_folder}/part={part}")
     long.join(taken.select(F.col(order).alias("ord")), "ord", "left_semi").select("key", "ord").write.mode("overwrite").parquet(f"{state_folder}/part={part}")

@@ -16,3 +16,14 @@ def test_contract(spark):
 def test_only_the_entry_names_llm():
     others = [p for p in ROOT.glob("millrace/**/*.py") if "llm" not in p.parts] + list(ROOT.glob("tests/*.py"))
     assert [p.name for p in others if "millrace.llm" in p.read_text() and p.name != Path(__file__).name] == []
+
+
+def test_stored_tables_are_dropped(spark):
+    from millrace import tables
+
+    path = tables.stored(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    import os
+
+    assert os.path.exists(path)
+    tables.drop_stored(spark)
+    assert not os.path.exists(path)
