@@ -8,12 +8,13 @@ chrome to other addresses. Headlines of other articles are never shared: they ar
 a line that on its host is mostly followed by such headlines ("Read next").
 
 Texts are read once; after that only line hashes move. Pages are sorted by range over (host, path), so a large host is
-spread over many tasks.
+spread over many tasks. Lines met again in a task (a site's chrome) are not masked again.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.urls import canonical_url
+from millrace.llm.words import WORD, SmallHashes
 from millrace.tables import stored
 
 #: Neighbours on each side that a page is compared with.
@@ -38,13 +40,16 @@ HOST_SHARE, HOSTS = 0.36, 6
 #: A host counts fully if it has more pages than this part of a typical page's host, and hardly if it has fewer.
 SMALL_HOST = 0.1
 
-#: Characters of a line up to which weekdays are masked; a notice is shorter than a paragraph.
-NOTICE = 160
+#: Lines a worker remembers; beyond that it starts anew, which bounds its memory.
+MEMO = 50_000
+#: Words that a sentence needs to be a unit of its own (see `page_lines`).
+UNIT = 4
 
 _ADDRESS = re.compile(r"\s*[a-z][a-z0-9+.-]*://([^/?#\s]*)(.*)", re.S)
 _DIGITS = re.compile(r"\d+")
 #: Characters that only spell a line differently.
 _SPELLING = str.maketrans({**dict.fromkeys("​‌‍⁠﻿­"), "’": "'", "‘": "'", "“": '"', "”": '"'})
+_SPELT = re.compile("[" + "".join(map(chr, _SPELLING)) + "]")
 # Weekdays, which change in a site's lines as numbers do.
 _WEEKDAYS = re.compile(
     r"\b(?:(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day|Montag|Dienstag|Mittwoch|Donnerstag|Freitag|Samstag|Sonntag|lundi|mardi|mercredi|jeudi|vendredi|samedi|dimanche"
@@ -57,15 +62,19 @@ _MINUTES = re.compile(r"^.{3,}[·|—–-]\s*0\s?(?:min|minutes?|Min\.?|分)\b.{
 _DATED = re.compile(r"^(?:[-*•]\s+)?(?:0\.0\.0|0/0/0|0-0-0|0年0月0日)\s+\S.{2,}[^.!?。！？]$")
 _TAGS = re.compile(r"^#[^\W_]\w*(?:\s+#[^\W_]\w*)*$")
 #: The first sentence, and the first two, of a line that goes on: sites join their notices in one line.
-_SENTENCE = re.compile(r"^((.{6,120}?[.!?。！？])(?:\s+.{6,120}?[.!?。！？])?)\s+\S")
+_FIRST = re.compile(r"^((.{6,}?[.!?。！？])(?:\s+.{6,}?[.!?。！？])?)\s+\S")
+_SENTENCE_END = re.compile(r"[.!?]\s+|[。！？]")
+_WORD_OR_END, _ASCII_WORD_OR_END = re.compile(f"{WORD.pattern}|\0"), re.compile("[a-z0-9]+|\0")
 _LEAD = re.compile(r"^(?:[-*•]\s+)?(?:\d{1,2}[./]\d{1,2}[./]\d{4}\s+)?")
 _CODE = re.compile(r"[={}<>\[\]]|\(\)|^[>$#|\"'`/]|^\s|^(?:def|return|import|class|for|if)\b|: ok\b")
-_HEADLINE_END = re.compile(r"[^\s.!?。！？,;:{}()\[\]\"`|]$")
+_NO_HEADLINE_END = frozenset(".!?。！？,;:{}()[]\"`|")
 
 
 def masked(line: str) -> str:
     """`line` without what changes from page to page."""
-    text = _DIGITS.sub("0", " ".join(line.translate(_SPELLING).split()))
+    if not line.isascii() and _SPELT.search(line):
+        line = line.translate(_SPELLING)
+    text = _DIGITS.sub("0", " ".join(line.split()))
     if text[:1] == "#" and _TAGS.match(text):
         return TAGS
     if "0" in text:
@@ -73,7 +82,9 @@ def masked(line: str) -> str:
             return MINUTES
         if _DATED.match(text):
             return DATED
-    if len(text) < NOTICE:
+    # Parts that every line with a weekday has one of: looking for these is cheaper.
+    if "day" in text or "tag" in text or "woch" in text or "曜" in text or "edi" in text or "undi" in text or "ardi" in text or "eudi" in text or "manche" in text or "lunes" in text \
+            or "martes" in text or "coles" in text or "jueves" in text or "viernes" in text or "bado" in text or "mingo" in text:
         text = _WEEKDAYS.sub("0", text)
     if any(c in text for c in ("›", "»", "→", "::")) and (crumb := _CRUMB.match(text)):
         return crumb[1] + "*"
@@ -82,8 +93,11 @@ def masked(line: str) -> str:
 
 def headline(line: str) -> bool:
     """Whether `line` could be the headline of another article."""
-    text = _LEAD.sub("", line.strip())
-    return 4 < len(text) < 180 and bool(_HEADLINE_END.search(text)) and not _CODE.search(text)
+    text = line.strip()
+    if text[-1:] in _NO_HEADLINE_END:
+        return False
+    text = _LEAD.sub("", text)
+    return len(text) > 4 and not _CODE.search(text)
 
 
 def _hash(text: str) -> int:
@@ -96,42 +110,117 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return (address[1], address[2]) if address else ("", "")
 
 
-def _page_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        numbers, keys, firsts, seconds, heads, hashes, offsets = [], [], [], [], [], [], [0]
-        places = [host_and_path(u) for u in batch.column(1).to_pylist()]
-        for body in batch.column(2).to_pylist():
-            for no, line in enumerate((body or "").split("\n"), 1):
-                if not line.strip():
-                    continue
-                text = masked(line)
-                first = _SENTENCE.match(text) if len(text) < 300 else None
-                numbers.append(no)
-                keys.append(_hash(text))
-                firsts.append(_hash(first[2]) if first else 0)
-                seconds.append(_hash(first[1]) if first else 0)
-                heads.append(headline(line))
-            offsets.append(len(numbers))
-            hashes.append(_hash(body or ""))
-        offsets = pa.array(offsets, pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in ((numbers, pa.int32()), (keys, pa.int64()), (firsts, pa.int64()), (seconds, pa.int64()), (heads, pa.bool_()))]
-        host, path = (pa.array([p[k] for p in places], pa.string()) for k in range(2))
-        yield pa.RecordBatch.from_arrays([batch.column(0), host, path, pa.array(hashes, pa.int64()), *lists],
-                                         names=["page", "host", "path", "body_hash", "line_nos", "keys", "firsts", "seconds", "headlines"])
-
-
-def page_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical_url", body: str = "body_text") -> DataFrame:
+class _Lines(dict):
+    """What is known of a line: masked hashes, whether it could be a headline, and (`words`) its words and sentences."""
+
+    def __init__(self, words: bool):
+        super().__init__()
+        self.words, self.hashes = words, SmallHashes()
+
+    def __missing__(self, line: str) -> tuple:
+        text = masked(line)
+        first = _FIRST.match(text)
+        value = (_hash(text), _hash(first[2]) if first else 0, _hash(first[1]) if first else 0, headline(line))
+        if self.words:
+            value += self._sentences(line.lower())
+        self[line] = value
+        return value
+
+    def _sentences(self, line: str) -> tuple:
+        """(words as bytes, their number, unit hashes, words of each unit)"""
+        # A zero, which is no word's hash, stands where a sentence ends.
+        words = (_ASCII_WORD_OR_END if line.isascii() else _WORD_OR_END).findall(_SENTENCE_END.sub("\0", line) + "\0")
+        sentences = array("i", map(self.hashes.__getitem__, words))
+        hashes, units, weights, at = b"", [], [], 0
+        while at < len(sentences):
+            end = sentences.index(0, at)
+            words = sentences[at:end].tobytes()
+            hashes += words
+            if end - at >= UNIT:
+                units.append(xxhash.xxh3_64_intdigest(words) - (1 << 63))
+                weights.append(end - at)
+            at = end + 1
+        return hashes, len(hashes) // 4, units, weights
+
+    def trim(self) -> None:
+        self.hashes.trim()
+        if len(self) > MEMO:
+            self.clear()
+
+
+def _page_lines(words: bool):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = _Lines(words)
+        for batch in batches:
+            numbers, found, hashes, offsets, packed = [], [], [], [0], []
+            places = [host_and_path(u) for u in batch.column(1).to_pylist()]
+            for body in batch.column(2).to_pylist():
+                own = len(found)
+                for no, line in enumerate((body or "").split("\n"), 1):
+                    if line and not line.isspace():
+                        numbers.append(no)
+                        found.append(lines[line])
+                offsets.append(len(numbers))
+                hashes.append(_hash(body or ""))
+                if words:
+                    packed.append(_packed(found[own:]))
+                lines.trim()
+            offsets = pa.array(offsets, pa.int32())
+            kinds = (numbers, pa.int32()), ([f[0] for f in found], pa.int64()), ([f[1] for f in found], pa.int64()), ([f[2] for f in found], pa.int64()), ([f[3] for f in found], pa.bool_())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in kinds]
+            host, path = (pa.array([p[k] for p in places], pa.string()) for k in range(2))
+            extra = [pa.array([p[k] for p in packed], pa.binary()) for k in range(len(_PACKED))] if words else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), host, path, pa.array(hashes, pa.int64()), *lists, *extra],
+                                             names=["page", "host", "path", "body_hash", "line_nos", "keys", "firsts", "seconds", "headlines", *(_PACKED if words else [])])
+
+    return read
+
+
+#: Columns of `page_lines` that only Python reads: numbers as bytes, which Spark neither decodes nor copies one by one.
+_PACKED = ["line_words", "words", "unit_lines", "units", "weights"]
+
+
+def _packed(lines: list[tuple]) -> tuple:
+    """The numbers of words of a page's lines (int32), their words (int32), and each unit's line (int32, from 0), hash
+    (int64) and number of words (int32)."""
+    counts = np.array([f[5] for f in lines], np.int32)
+    owners = np.repeat(np.arange(len(lines), dtype=np.int32), [len(f[6]) for f in lines])
+    units, weights = np.array([u for f in lines for u in f[6]], np.int64), np.array([w for f in lines for w in f[7]], np.int32)
+    return counts.tobytes(), b"".join([f[4] for f in lines]), owners.tobytes(), units.tobytes(), weights.tobytes()
+
+
+def page_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical_url", body: str = "body_text", words: bool = False) -> DataFrame:
     """(page, host, path, body_hash, line_nos, keys, firsts, seconds, headlines): the non-blank lines of every page as hashes.
 
-    Lines are split at line feeds and numbered from 1. A page without a readable host has the host ''.
+    Lines are split at line feeds and numbered from 1. A page without a readable host has the host ''. With `words` the
+    columns of _PACKED follow: the words of all lines, and their sentences of at least UNIT words.
     """
     rows = pages.select(F.col(page).alias("page"), F.col(url).cast("string").alias("url"), F.col(body).cast("string").alias("body"))
     kind = rows.schema["page"].dataType.simpleString()
-    return rows.mapInArrow(_page_lines, f"page {kind}, host string, path string, body_hash bigint, line_nos array<int>, keys array<bigint>, firsts array<bigint>, seconds array<bigint>, headlines array<boolean>")
+    schema = f"page {kind}, host string, path string, body_hash bigint, line_nos array<int>, keys array<bigint>, firsts array<bigint>, seconds array<bigint>, headlines array<boolean>"
+    return rows.mapInArrow(_page_lines(words), schema + "".join(f", {c} binary" for c in _PACKED) if words else schema)
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """A longest common subsequence of two lists as pairs of places: the longest increasing chain of their matches."""
+    """A longest common subsequence of two lists as pairs of places.
+
+    Common ends are set aside. What is left is chained from its matches where they are few; pages of often repeated
+    lines have too many of them and are halved by the lengths of bit-parallel rows instead.
+    """
+    low, n, m = 0, len(a), len(b)
+    while low < min(n, m) and a[low] == b[low]:
+        low += 1
+    while n > low and m > low and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    head, tail = [(i, i) for i in range(low)], [(n + k, m + k) for k in range(len(a) - n)]
+    in_a, in_b = Counter(a[low:n]), Counter(b[low:m])
+    matches = sum(c * in_b[key] for key, c in in_a.items() if key in in_b)
+    middle = _chained if matches <= 64 * (n + m) else _halved
+    return head + [(i + low, j + low) for i, j in middle(a[low:n], b[low:m])] + tail
+
+
+def _chained(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """The longest increasing chain of the matches of `a` and `b`."""
     places: dict[int, list[int]] = {}
     for j, key in enumerate(b):
         places.setdefault(key, []).append(j)
@@ -152,6 +241,32 @@ def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """The length of the longest common subsequence of `a` with each beginning of `b`: a row of the table kept as the bits
+    of one number, a set bit where the length doesn't grow."""
+    masks: dict[int, int] = {}
+    for j, key in enumerate(b):
+        masks[key] = masks.get(key, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
+    for key in a:
+        both = row & masks.get(key, 0)
+        row = (row + both | row - both) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate(([0], np.cumsum(1 - bits.astype(np.int64))))
+
+
+def _halved(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """A longest common subsequence by halving `a` and cutting `b` where the halves' lengths are greatest together."""
+    if not a or not b:
+        return []
+    if len(a) == 1:
+        return [(0, b.index(a[0]))] if a[0] in b else []
+    half = len(a) // 2
+    cut = int((_lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]).argmax())
+    return _halved(a[:half], b[:cut]) + [(i + half, j + cut) for i, j in _halved(a[half:], b[cut:])]
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (host, path). For each (host, key): pages that share it, and those where a headline follows."""
     votes, follows, pages = Counter(), Counter(), Counter()
@@ -215,16 +330,20 @@ def site_lines(lines: DataFrame) -> DataFrame:
     return own.select("key", (F.col("follows") * 2 > F.col("votes")).alias("header"))
 
 
-def chrome_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical_url", body: str = "body_text", lines: DataFrame | None = None) -> DataFrame:
+def chrome_lines(pages: DataFrame, page: str = "article_no", url: str = "canonical_url", body: str = "body_text") -> DataFrame:
     """(page, line_no) of every non-blank line outside the main body.
 
     Null, empty and blank bodies have no lines; repeated rows of one page number give its lines once; a page whose URL
     has no host is compared with the others of that kind; texts are read whole; an empty table gives no rows; other
     columns are ignored. Where two chains of shared lines are equally long, the one found first counts; a host with fewer
-    than PAGES pages has no lines of its own. `lines` is the stored result of `page_lines`, where it is at hand.
+    than PAGES pages has no lines of its own.
     """
-    lines = stored(page_lines(pages, page, url, body)) if lines is None else lines
-    site = stored(site_lines(lines))
+    lines = stored(page_lines(pages, page, url, body))
+    return chrome_of(lines, stored(site_lines(lines))).select(F.col("page").alias(page), F.explode("chrome").alias("line_no"))
+
+
+def chrome_of(lines: DataFrame, site: DataFrame) -> DataFrame:
+    """(page, chrome): the numbers of the lines of a page (of `page_lines`) that the stored `site` lines make chrome."""
     each = lines.select("page", F.explode(F.arrays_zip("line_nos", "keys", "firsts", "seconds", "headlines")).alias("l")).select("page", "l.*")
     first, second = (site.select(F.col("key").alias(c), F.lit(True).alias(f"{c}_own")) for c in ("firsts", "seconds"))
     judged = each.join(site.withColumn("own", F.lit(True)), each["keys"] == site["key"], "left").join(first, "firsts", "left").join(second, "seconds", "left")
@@ -235,4 +354,4 @@ def chrome_lines(pages: DataFrame, page: str = "article_no", url: str = "canonic
                                          F.array_sort(F.collect_set(F.when(~F.col("own"), F.col("line_no")))).alias("heads"))
     run = F.aggregate("heads", F.struct(F.col("headers").alias("after"), F.array().cast("array<int>").alias("found")), lambda s, n: F.when(
         F.array_contains(s["after"], n - 1), F.struct(F.array_append(s["after"], n).alias("after"), F.array_append(s["found"], n).alias("found"))).otherwise(s))
-    return by_page.select(F.col("page").alias(page), F.explode(F.array_union("own", run["found"])).alias("line_no"))
+    return by_page.select("page", F.array_union("own", run["found"]).alias("chrome"))

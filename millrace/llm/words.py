@@ -24,6 +24,14 @@ class WordHashes(dict):
             self.clear()
 
 
+class SmallHashes(WordHashes):
+    """Of 31 bits, which a signed 32-bit number holds; 0 for a zero byte, at least 1 for every word."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = max(1, xxhash.xxh3_64_intdigest(word.encode()) & 0x7FFFFFFF) if word != "\0" else 0
+        return value
+
+
 def word_hashes(text: str, memo: WordHashes) -> np.ndarray:
     return np.array(list(map(memo.__getitem__, WORD.findall(text.lower()))), np.uint64)
 
