@@ -47,9 +47,12 @@ def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Delete the tables that `stored` has written since the last call; their results must have been read or written."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete(spark, _written.pop())
