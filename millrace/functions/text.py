@@ -76,12 +76,13 @@ def compatible(values: pd.Series) -> pd.Series:
 
 
 def title_words(title: Column) -> Column:
-    """The distinct words of a title in lower case: ASCII letters and digits, or runs of kana and kanji; no stop words."""
-    words = F.regexp_extract_all(F.lower(title), F.lit("([0-9a-z]+|[\\x{3040}-\\x{30FF}\\x{4E00}-\\x{9FFF}]+)"), F.lit(1))
+    """The distinct words of a title in compatible form and lower case: ASCII letters and digits, or runs of kana and kanji;
+    no stop words."""
+    words = F.regexp_extract_all(F.lower(compatible(title)), F.lit("([0-9a-z]+|[\\x{3040}-\\x{30FF}\\x{4E00}-\\x{9FFF}]+)"), F.lit(1))
     return F.array_except(F.array_distinct(words), F.array(*map(F.lit, STOP_WORDS)))
 
 
-# Shapes of secrets, each replaced as a whole.
+# Shapes of secrets, each replaced as a whole. Keys and token settings of any vendor count, not of one alone.
 SECRETS = [
     r"sk-[a-z]+-[A-Za-z0-9_-]{8,}", r"\b(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{20,}", r"\bgithub_pat_[A-Za-z0-9_]{20,}", r"(?i)\bbearer\s+[A-Za-z0-9._~+/=-]{16,}",
     r"\b[A-Z_]*OAUTH_TOKEN\s*=\s*\S+", r"https?://[^/\s@:]+:[^/\s]*@",
@@ -115,7 +116,9 @@ def verbatim_span(quote: Column, paragraph: Column, longest: int = 300) -> Colum
     return F.when(F.size(words) > 0, F.when(F.length(span) > longest, F.array_join(words, " ")).otherwise(span))
 
 
-_FENCE = re.compile(r"^\s*(?:```|~~~)")
+#: Blocks between blank lines. A fence that begins a block reaches to the next block end with a fence, or to the end.
+_BLOCK = re.compile(r"(?:\n\n)?(```(?:`{1,2}|.*?```)\s*?(?=\n\n|\Z)|```.*|.*?(?=\n\n|\Z))", re.S)
+_HEADING = re.compile(r"#{1,6} (?=.*\S).*")
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("section", T.StringType()), T.StructField("text", T.StringType())])))
@@ -123,25 +126,39 @@ def paragraphs(values: pd.Series) -> pd.Series:
     """Blocks between blank lines in order, fenced code in one piece; `section` is the latest heading, its own included."""
 
     def cut(text):
-        out, section, part, fenced = [], None, [], False
-
-        def flush():
-            nonlocal section
-            if any(x.strip() for x in part):
-                block = "\n".join(part).strip("\n")
-                if not _FENCE.match(block) and re.match(r"#{1,6}\s+\S", block):
-                    section = block.splitlines()[0].lstrip("#").strip()
+        out, section = [], None
+        for block in map(str.strip, _BLOCK.findall(text or "")):
+            if _HEADING.fullmatch(block):
+                section = block.lstrip("#").strip() or section
+            if block:
                 out.append({"pos": len(out) + 1, "section": section, "text": block})
-            part.clear()
-
-        for line in (text or "").split("\n"):
-            fence = bool(_FENCE.match(line))
-            if not line.strip() and not fenced:
-                flush()
-                continue
-            part.append(line)
-            fenced ^= fence
-        flush()
         return out
 
     return values.map(cut)
+
+
+# Rules for traces of machine-written prose: dashes, decorative emoji, statements without a speaker, empty
+# praise, hype, and contrasts made by rote.
+FORBIDDEN = {
+    "fullwidth_dash": "[–—―⸺⸻︱︲﹘－]+",
+    "decorative_emoji": "[‼⁉☀-✒✕✖✙-➿⬀-⯿〰〽\ufe0f\U0001f000-\U0001f02f\U0001f0a0-\U0001f0ff\U0001f100-\U0001f1ff\U0001f300-\U0001faff]+",
+    "absent_subject": "と(?:言われて|いわれて|されて|考えられて|見られて|みられて)(?:いる|いた|います)|(?:注目|期待)されて(?:いる|います)|(?:話題|議論)(?:を呼んで|になって)(?:いる|います)",
+    "abstract_praise": "画期的|革新的|圧倒的|驚異的|素晴らし|目覚ましい|注目に値する|他ならな|まさに|極めて重要",
+    "hype": "必見|見逃せな|衝撃|激変|一変させ|驚くべき|革命的|ゲームチェンジャー|[Gg]ame[ -][Cc]hanger",
+    "mechanical_contrast": "ではなく[、,].{0,30}?(?:である|だ)[。.]|単なる.{0,20}?ではな",
+}
+_FORBIDDEN = {rule: re.compile(pattern) for rule, pattern in FORBIDDEN.items()}
+_ANY_FORBIDDEN = re.compile("|".join(FORBIDDEN.values()))
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("rule", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("matched", T.StringType())])))
+def forbidden(values: pd.Series) -> pd.Series:
+    """Every match of a rule, by place and rule; `start` counts characters from 0, at most 40 are shown. Null: none."""
+
+    def traces(text):
+        if not text or text.isascii() and "ame" not in text or not _ANY_FORBIDDEN.search(text):
+            return []
+        found = sorted((m.start(), rule, m[0][:40]) for rule, pattern in _FORBIDDEN.items() for m in pattern.finditer(text))
+        return [{"rule": rule, "start": at, "matched": shown} for at, rule, shown in found]
+
+    return values.map(traces)

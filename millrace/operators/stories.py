@@ -41,16 +41,29 @@ def similar_classes(classes: DataFrame) -> DataFrame:
     return both.where(alike).select("left_class", "right_class", shared.alias("shared"))
 
 
-def story_clusters(articles: DataFrame, key: str = "article_id", title: str = "title") -> DataFrame:
-    """(key, story): articles linked through similar titles; `story` is the smallest key. Articles of one title class are
-    a story if they have SHARED_WORDS words; an article without a title is a story of its own."""
+def link_edges(articles: DataFrame, links: DataFrame, key: str, url: str = "canonical_url", source: str = "source_id") -> DataFrame:
+    """(a, b): an article and the one its page links to, if that is another source's. links(key, url): canonical targets;
+    of several articles with one address the last is meant. Null addresses and sources link nothing."""
+    targets = articles.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("target")).agg(F.max_by(F.struct(F.col(key).alias("b"), F.col(source).alias("of")), key).alias("t"))
+    own = articles.select(F.col(key).alias("a"), F.col(source).alias("own")).distinct()
+    meant = links.select(F.col(key).alias("a"), F.col("url").alias("target")).distinct().join(targets, "target").join(own, "a")
+    return meant.where("own <> t.of").select("a", F.col("t.b").alias("b")).distinct()
+
+
+def story_clusters(articles: DataFrame, key: str = "article_id", title: str = "title", links: DataFrame | None = None) -> DataFrame:
+    """(key, story): articles linked through similar titles, or through their pages' `links` (see `link_edges`); `story` is
+    the smallest key. Articles of one title class are a story if they have SHARED_WORDS words; an article without a title
+    is a story of its own, unless it is linked."""
     classes = stored(title_classes(articles, key, title))
     own = classes.groupBy("title_class").agg(F.min("key").alias("head"), F.first(F.size("words")).alias("size"))
     together = classes.join(own.where(F.col("size") >= SHARED_WORDS), "title_class").select(F.col("head").alias("a"), F.col("key").alias("b"))
     pairs = similar_classes(classes)
     heads = own.select("title_class", "head")
     across = pairs.join(heads.select(F.col("title_class").alias("left_class"), F.col("head").alias("a")), "left_class").join(heads.select(F.col("title_class").alias("right_class"), F.col("head").alias("b")), "right_class")
-    roots = connected_components(together.union(across.select("a", "b")))
+    edges = together.union(across.select("a", "b"))
+    if links is not None:
+        edges = edges.union(link_edges(articles, links, key))
+    roots = connected_components(edges)
     keys = articles.select(F.col(key).alias("key")).where("key is not null").distinct()
     return keys.join(roots.select(F.col("id").alias("key"), "root"), "key", "left").select(F.col("key").alias(key), F.coalesce("root", "key").alias("story"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as X
-from millrace.functions.urls import canonical, site_of
+from millrace.functions.urls import canonical, resolved_links, site_of
 from millrace.operators.gates import gated, greedy_budget
 from millrace.operators.greedy import first_of_kind
 from millrace.operators.leaks import PASSAGE, SHORT, shared_passages
@@ -131,8 +131,27 @@ def similar_titles(spark: SparkSession, d: str) -> DataFrame:
     return similar_classes(title_classes(table(spark, d, "normalized_article"), "article_no"))
 
 
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    """The canonical addresses that each article's text links to, its own aside."""
+    rows = table(spark, d, "normalized_article").select("article_no", "canonical_url", F.regexp_extract_all("body_text", F.lit(r"(https?://[^\s<>()\[\]\"'`]+)"), F.lit(1)).alias("hrefs"))
+    return rows.where(F.size("hrefs") > 0).select("article_no", F.explode(resolved_links("canonical_url", "hrefs")).alias("url"))
+
+
 def story_members(spark: SparkSession, d: str) -> DataFrame:
-    return story_clusters(table(spark, d, "normalized_article"), "article_no")
+    return story_clusters(table(spark, d, "normalized_article"), "article_no", links=page_links(spark, d))
+
+
+def body_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies with unified line ends, without blanks at line ends and blank lines at both ends: their lines."""
+    rows = table(spark, d, "normalized_article").select("article_no", F.split(X.blocks(F.col("body_text")), "\n").alias("lines"))
+    return rows.select("article_no", F.size("lines").alias("lines"), F.aggregate("lines", F.lit(0), lambda n, x: n + F.length(x)).alias("chars"))
+
+
+def forbidden_traces(spark: SparkSession, d: str) -> DataFrame:
+    """Traces of machine-written Japanese prose in documents: how often each rule matches, and where first."""
+    found = table(spark, d, "documents").select("doc_id", F.explode(X.forbidden("text")).alias("f")).select("doc_id", "f.*")
+    first = F.min(F.struct("start", "matched")).alias("first")
+    return found.groupBy("doc_id", "rule").agg(F.count("*").alias("traces"), first).select("doc_id", "rule", "traces", "first.start", "first.matched")
 
 
 def story_heads(spark: SparkSession, d: str) -> DataFrame:
@@ -160,7 +179,7 @@ def budgeted_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 
 def titles_in_bodies(spark: SparkSession, d: str) -> DataFrame:
     """Articles whose body quotes their title word for word, blanks aside."""
-    rows = table(spark, d, "normalized_article").where("length(title) > 20")
+    rows = table(spark, d, "normalized_article")
     return rows.where(X.verbatim_span(F.col("title"), F.col("body_text")).isNotNull()).select("article_no")
 
 
@@ -197,7 +216,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         content_hashes, article_ids, summaries_plain, collapsed_titles, canonical_urls, records_per_site, exact_duplicates, accepted_records, unknown_items, fresh_articles, fresh_two_sided,
-        newest_per_source, research_order, keyword_hits, items_of_kinds, item_article_join, gate_outcomes, exclusion_reasons, similar_titles, story_members, story_heads, document_paragraphs,
+        newest_per_source, research_order, keyword_hits, items_of_kinds, item_article_join, gate_outcomes, exclusion_reasons, similar_titles, page_links, story_members, story_heads, body_blocks, forbidden_traces, document_paragraphs,
         budgeted_paragraphs, titles_in_bodies, leaked_passages, leaked_texts, redacted_documents, markup_counts,
     )
 }
@@ -248,7 +267,7 @@ ORACLES = {
     "story_members": f"with recursive {_STORIES} select article_no, story from story",
     "story_heads": f"""with recursive {_STORIES} select story, arg_min(article_no, struct_pack(r := case when source_kind = 'fixed_watch' then 1 else 2 end, p := coalesce(published_at, timestamptz '9999-01-01'), a := article_no)) as representative,
         count(*) as members from story join normalized_article using (article_no) group by story""",
-    "titles_in_bodies": r"select article_no from normalized_article where length(title) > 20 and contains(regexp_replace(body_text, '[ \t\n\r\f\v]+', ' ', 'g'), trim(regexp_replace(title, '[ \t\n\r\f\v]+', ' ', 'g')))",
+    "titles_in_bodies": r"select article_no from normalized_article where trim(regexp_replace(title, '[ \t\n\r\f\v]+', ' ', 'g')) <> '' and contains(regexp_replace(body_text, '[ \t\n\r\f\v]+', ' ', 'g'), trim(regexp_replace(title, '[ \t\n\r\f\v]+', ' ', 'g')))",
     "leaked_passages": r"""with
         d as (select doc_id, trim(regexp_replace(text, '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) as t from documents),
         s as (select item_no, trim(regexp_replace(feed_summary, '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) as t from collected_item),
@@ -262,6 +281,11 @@ ORACLES = {
         sw as (select distinct item_no, substr(t, k::int, 64) as w from (select item_no, t, unnest(range(1, length(t) - 62)) as k from s where length(t) >= 64)),
         pairs as (select doc_id, item_no from dw join sw using (w) union select doc_id, item_no from s join d on contains(d.t, s.t) where length(s.t) between 16 and 63)
         select doc_id, min(item_no) as item_no, count(distinct item_no)::bigint as secrets from pairs group by doc_id""",
+    "forbidden_traces": "select * from (" + " union all ".join(
+        f"""select doc_id, '{rule}' as rule, len(regexp_extract_all(text, '{pattern}')) as traces, cast(strpos(text, regexp_extract(text, '{pattern}')) - 1 as int) as start, substr(regexp_extract(text, '{pattern}'), 1, 40) as matched
+        from documents where regexp_matches(text, '{pattern}')""" for rule, pattern in X.FORBIDDEN.items()) + ")",
+    "body_blocks": r"""with b as (select article_no, regexp_replace(array_to_string(list_transform(string_split(regexp_replace(body_text, '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+$', '')), chr(10)), '^\n+|\n+$', '', 'g') as t from normalized_article)
+        select article_no, cast(len(string_split(t, chr(10))) as int) as lines, cast(length(replace(t, chr(10), '')) as int) as chars from b""",
     "redacted_documents": r"""select doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
         'sk-[a-z]+-[A-Za-z0-9_-]{8,}', '<redacted>', 'g'), '\b(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{20,}', '<redacted>', 'g'), '\bgithub_pat_[A-Za-z0-9_]{20,}', '<redacted>', 'g'),
         '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]{16,}', '<redacted>', 'g'), '\b[A-Z_]*OAUTH_TOKEN\s*=\s*\S+', '<redacted>', 'g'), 'https?://[^/\s@:]+:[^/\s]*@', '<redacted>', 'g'),

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Elements whose text no reader of the article sees, and elements that begin a block.
-SKIPPED = "script style noscript template svg math iframe object embed canvas form select textarea button input label nav header footer aside head title".split()
-BLOCKS = "address article blockquote dd div dl dt fieldset figcaption figure hr li main ol p pre section table tbody thead tr ul h1 h2 h3 h4 h5 h6".split()
-VOID = "area base br col embed hr img input link meta param source track wbr".split()
+SKIPPED = ["script", "style", "noscript", "template", "svg", "math", "iframe", "object", "embed", "canvas", "form", "select", "textarea", "button", "input", "label", "nav", "header", "footer", "aside", "head", "title"]
+BLOCKS = ["address", "article", "blockquote", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "hr", "li", "main", "ol", "p", "pre", "section", "table", "tbody", "thead", "tr", "ul", "h1", "h2", "h3", "h4", "h5", "h6"]
+VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
 HIDDEN_CLASSES = ["sr-only", "visually-hidden", "visuallyhidden", "screen-reader", "skip-link"]
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden|(?:opacity|font-size)\s*:\s*0(?:\.0+)?(?:px|em|rem|%)?\s*(?:;|$)|text-indent\s*:\s*-\d{3,}|(?:left|top)\s*:\s*-\d{3,}", re.I)
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?([\w-]+)""", re.I)
@@ -125,15 +125,26 @@ def content_column(bodies: pd.Series, content_types: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([main_content(decoded(bytes(b), t)) if b is not None else empty for b, t in zip(bodies, content_types)])
 
 
+# Address ranges that are no public host's (registries of special-purpose addresses).
+CLOSED_RANGES = [
+    "0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.0.0/24", "192.0.2.0/24", "192.88.99.0/24", "192.168.0.0/16",
+    "198.18.0.0/15", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4",
+    "::/96", "64:ff9b:1::/48", "100::/64", "2001::/23", "2001:db8::/32", "2002::/16", "3fff::/20", "5f00::/16", "fc00::/7", "fe80::/10", "ff00::/8",
+]
+# IPv6 ranges whose last 32 bits are an IPv4 address.
+WRAPPED_RANGES = ["::ffff:0:0/96", "64:ff9b::/96"]
+_CLOSED, _WRAPPED = (list(map(ipaddress.ip_network, ranges)) for ranges in (CLOSED_RANGES, WRAPPED_RANGES))
+
+
 def public_address(address: str | None) -> bool:
-    """Whether an IP address is public; mapped and translated IPv6 addresses are judged by the IPv4 one inside."""
+    """Whether an IP address is public; IPv6 addresses that wrap an IPv4 one are judged by that, a zone is ignored."""
     try:
-        ip = ipaddress.ip_address(address or "")
+        ip = ipaddress.ip_address((address or "").partition("%")[0])
     except ValueError:
         return False
-    if ip.version == 6 and (inner := ip.ipv4_mapped or (ipaddress.IPv4Address(int(ip) & 0xFFFFFFFF) if ip in ipaddress.ip_network("64:ff9b::/96") else None)):
-        ip = inner
-    return ip.is_global and not ip.is_multicast
+    if any(ip in wrapped for wrapped in _WRAPPED if ip.version == 6):
+        ip = ipaddress.IPv4Address(int(ip) & 0xFFFFFFFF)
+    return not any(ip in closed for closed in _CLOSED if closed.version == ip.version)
 
 
 @F.pandas_udf(T.BooleanType())

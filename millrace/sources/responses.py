@@ -25,12 +25,17 @@ _ENTRY = T.ArrayType(T.StructType([
 ]))
 
 
+# Namespaces of the elements that are read, and the prefixes they have here.
+NAMESPACES = {"": "", "http://www.w3.org/2005/Atom": "atom:", "http://purl.org/dc/elements/1.1/": "dc:", "http://www.sitemaps.org/schemas/sitemap/0.9": ""}
+
+
 def xml_records(body: bytes, tags: set[str]) -> tuple[str, list[list[tuple[str, dict, str]]]]:
-    """(root name, records): every element of `tags` as its direct children's (name, attributes, text), without prefixes.
+    """(root name, records): every element of `tags` as its direct children's (name, attributes, text).
 
-    Document type declarations and entities are refused.
+    Names have the prefixes of NAMESPACES, names of other namespaces their whole address, so that none is taken for
+    another. Entity declarations are refused; a document type without them isn't.
     """
-    parser = expat.ParserCreate()
+    parser = expat.ParserCreate(namespace_separator=" ")
     stack: list[tuple[str, dict, list[str]]] = []
     records: list[list[tuple[str, dict, str]]] = []
     open_: list[list] = []
@@ -41,13 +46,14 @@ def xml_records(body: bytes, tags: set[str]) -> tuple[str, list[list[tuple[str,
 
     def start(name, attributes):
         nonlocal root
-        name = name.rpartition(":")[2]
+        space, _, local = name.rpartition(" ")
+        name = NAMESPACES.get(space, space + " ") + local
         root = root or name
         if name in tags and not open_:
             open_.append([])
         stack.append((name, attributes, []))
 
-    def end(_):
+    def end(_name):
         name, attributes, text = stack.pop()
         if open_ and name in tags:
             records.append(open_.pop())
@@ -59,7 +65,7 @@ def xml_records(body: bytes, tags: set[str]) -> tuple[str, list[list[tuple[str,
 
     parser.StartElementHandler, parser.EndElementHandler = start, end
     parser.CharacterDataHandler = lambda data: stack and stack[-1][2].append(data)
-    parser.StartDoctypeDeclHandler = parser.EntityDeclHandler = refuse
+    parser.EntityDeclHandler = parser.ExternalEntityRefHandler = refuse
     parser.Parse(body, True)
     return root, records
 
@@ -69,16 +75,17 @@ def feed_entries(body: bytes) -> list[dict]:
     _, records = xml_records(body, {"item"})
     atom = not records
     if atom:
-        _, records = xml_records(body, {"entry"})
+        _, records = xml_records(body, {"atom:entry"})
     out = []
     for n, fields in enumerate(records):
         first = lambda *names, f=fields: next((t for name in names for k, _, t in f if k == name and t), None)
-        links = [a for k, a, _ in fields if k == "link" and a.get("href")]
-        url = next((a["href"] for a in links if a.get("rel", "alternate") == "alternate"), links[0]["href"] if links else None) or first("id") if atom else first("link", "guid")
-        out.append({
-            "pos": n, "title": first("title"), "url": url, "published": first("published", "updated") if atom else first("pubDate", "date"),
-            "summary": first("summary", "content") if atom else first("description"), "categories": [a.get("term") if atom else t for k, a, t in fields if k == "category"],
-        })
+        if atom:
+            links = [a for k, a, _ in fields if k == "atom:link" and a.get("href")]
+            url = next((a["href"] for a in links if a.get("rel", "alternate") == "alternate"), links[0]["href"] if links else None) or first("atom:id")
+            entry = {"title": first("atom:title"), "url": url, "published": first("atom:published", "atom:updated"), "summary": first("atom:summary", "atom:content"), "categories": [a.get("term") for k, a, _ in fields if k == "atom:category"]}
+        else:
+            entry = {"title": first("title"), "url": first("link", "guid"), "published": first("pubDate", "dc:date"), "summary": first("description"), "categories": [t for k, _, t in fields if k == "category"]}
+        out.append({"pos": n, **entry})
     return out
 
 
@@ -189,7 +196,7 @@ def feed_items(responses: DataFrame, known: DataFrame, settings: DataFrame, entr
     none = rows.sparkSession.createDataFrame([], "mirror_id int, zone_id string")
     dated = rows.join(normalise_instants(times, none).select("row_no", "epoch_us"), "row_no")
     since = F.unix_micros(F.lit(now).cast("timestamp")) - F.col("window_days").cast("long") * 86_400_000_000
-    plain = lambda c: F.transform(c, lambda x: F.lower(F.trim(F.regexp_replace(x, r"\s+", " "))))
+    plain = lambda c: F.transform(c, lambda x: F.replace(F.lower(F.trim(F.regexp_replace(x, r"\s+", " "))), F.lit("ß"), F.lit("ss")))
     wanted = F.col("settings_categories").isNull() | F.arrays_overlap(plain(F.col("entry_categories")), plain(F.col("settings_categories")))
     renamed = dated.where(F.coalesce(F.col("epoch_us") >= since, F.lit(undated))).where(F.coalesce(wanted, F.lit(False)))
     kept = top_per_group(renamed, ["source_id"], 1 << 30, "response", "pos").where(F.col("rank") <= F.col("max_items"))

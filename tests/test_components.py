@@ -34,3 +34,15 @@ def test_random_graphs_paths_and_stars(spark):
 def test_nulls_and_empty(spark):
     assert run(spark, [("a", None), (None, None), ("b", "c"), ("b", "c")]) == {"b": "b", "c": "b"}
     assert run(spark, []) == {}
+
+
+def test_stories_through_links(spark):
+    from millrace.operators.stories import story_clusters
+
+    rows = [(1, "https://a.test/1", "s1", "Alpha beta gamma"), (2, "https://b.test/2", "s2", "Other words here"), (3, "https://c.test/3", "s2", None), (4, None, None, "Alone"), (5, "https://b.test/2", "s1", "Unlike all")]
+    articles = spark.createDataFrame(rows, "article_no long, canonical_url string, source_id string, title string")
+    links = spark.createDataFrame([(3, "https://a.test/1"), (3, "https://a.test/1"), (2, "https://c.test/3"), (4, "https://a.test/1"), (3, "https://b.test/2"), (1, None), (9, "https://a.test/1")], "article_no long, url string")
+    # 2 and 3 are of one source; the last article of an address is meant, so 3 links to 5; 4 has no source.
+    got = {r.article_no: r.story for r in story_clusters(articles, "article_no", links=links).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 1}
+    assert {r.article_no: r.story for r in story_clusters(articles, "article_no").collect()} == {n: n for n in range(1, 6)}

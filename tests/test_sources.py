@@ -27,6 +27,22 @@ def test_feeds():
         R.feed_entries(b'<!DOCTYPE x [<!ENTITY a "b">]><rss><item><title>&a;</title></item></rss>')
 
 
+def test_names_of_other_namespaces_and_document_types():
+    feed = b"""<!DOCTYPE rss><rss xmlns:m="http://example.org/m/" xmlns:a="http://www.w3.org/2005/Atom"><item><m:title>No</m:title><a:link href="https://x.test/self"/><title>Yes</title><link>https://x.test/1</link></item></rss>"""
+    assert [(e["title"], e["url"]) for e in R.feed_entries(feed)] == [("Yes", "https://x.test/1")]
+    with pytest.raises(ValueError):
+        R.feed_entries(b'<!DOCTYPE r [<!ENTITY a SYSTEM "file:///x">]><r><item><title>t</title></item></r>')
+
+
+@pytest.mark.parametrize("address", ["192.88.99.7", "5f00::9", "3fff:1::1", "::9.9.9.9", "2001:4:112::5", "64:ff9b:1::1", "100::1", "2002:808:808::1", "fe80::2%eth1", "::ffff:192.168.3.4", "0.1.2.3", "255.255.255.255"])
+def test_closed_ranges(address):
+    assert not P.public_address(address)
+
+
+def test_open_addresses():
+    assert all(map(P.public_address, ["9.9.9.9", "2620:fe::fe", "64:ff9b::9.9.9.9", "::ffff:9.9.9.9", "192.88.98.1", "100.128.0.1"]))
+
+
 def test_feed_items(spark):
     rows = spark.createDataFrame([("s", "u", 200, RSS), ("bad", "u", 200, b"<rss"), ("no", "u", 403, None)], "source_id string, url string, status int, body binary")
     known = spark.createDataFrame([("https://e.com/k",)], "url string")

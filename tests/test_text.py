@@ -44,6 +44,25 @@ def test_paragraphs(spark):
     assert got[1:3] == [[], []] and [p.text for p in got[3]] == ["```\nopen\n\nfence"]
 
 
+def test_paragraphs_with_odd_fences_and_headings(spark):
+    cases = ["~~~\na\n\nb\n~~~", "# Two\nlines", "x ```\n\ny", "```\nk\n\nl\n```\n\nafter", "``````\n\nz", "#\n\n# \n\n####### seven", "  ## In  \n\n\n\n end ", "```a\n\nb``` c\n\nd"]
+    got = [[(p.section, p.text) for p in r] for r in values(spark, X.paragraphs, cases)]
+    assert got[0] == [(None, "~~~\na"), (None, "b\n~~~")] and got[1] == [(None, "# Two\nlines")] and got[2] == [(None, "x ```"), (None, "y")]
+    assert got[3] == [(None, "```\nk\n\nl\n```"), (None, "after")] and got[4] == [(None, "``````"), (None, "z")]
+    assert got[5] == [(None, "#"), (None, "#"), (None, "####### seven")] and got[6] == [("In", "## In"), ("In", "end")] and got[7] == [(None, "```a\n\nb``` c\n\nd")]
+
+
+def test_title_words_of_full_width_letters(spark):
+    assert values(spark, X.title_words, ["ＣＡＣＨＥ１２ of ﾃｽﾄ"]) == [["cache12", "テスト"]]
+
+
+def test_forbidden_traces(spark):
+    got = values(spark, X.forbidden, ["良い——結果✅✓", "必見。これは速さではなく、品質である。", "plain – text", "Game changer", None, "", "x" * 100_000])
+    assert [[(f.rule, f.start, f.matched) for f in r] for r in got] == [
+        [("fullwidth_dash", 2, "——"), ("decorative_emoji", 6, "✅")], [("hype", 0, "必見"), ("mechanical_contrast", 8, "ではなく、品質である。")], [("fullwidth_dash", 6, "–")], [("hype", 0, "Game changer")], [], [], [],
+    ]
+
+
 def test_gates_and_budget(spark):
     rows = spark.createDataFrame([(1, "a", 5), (2, None, 5), (3, "a", None)], "i int, t string, n int")
     out = gated(rows, [("one", [("no_t", F.col("t").isNull())]), ("two", [("small", F.col("n") < 9), ("none", F.col("n").isNull())])]).orderBy("i").collect()
