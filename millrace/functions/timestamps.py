@@ -67,7 +67,7 @@ _FIELDS = {
     "count": "c",
     "count_fraction": "cf",
 }
-_RECORD = "|".join("".join(f"${{{g}}}" for g in groups.split()) for groups in _FIELDS.values())
+_RECORD = "|" + "|".join("".join(f"${{{g}}}" for g in groups.split()) for groups in _FIELDS.values())
 
 
 def trimmed(value: Column) -> Column:
@@ -76,15 +76,14 @@ def trimmed(value: Column) -> Column:
 
 
 def components(value: Column) -> Column:
-    """An array of the named parts of `value` in the order of _FIELDS; null where no format fits."""
-    text = trimmed(value)
-    # A bar can't occur in a value that the pattern matches, so it delimits the record; others stay unsplit.
-    return F.when(text.rlike(PATTERN), F.split(F.regexp_replace(text, PATTERN, _RECORD), r"\|"))
+    """An array: the named parts of `value` in the order of _FIELDS behind an empty one, or one element where no format fits."""
+    # A bar delimits the record. No value that the pattern matches holds one; in others it is replaced, so they stay whole.
+    return F.split(F.regexp_replace(F.translate(trimmed(value), "|", "¦"), PATTERN, _RECORD), r"\|")
 
 
 def part(parts: Column, name: str) -> Column:
     """One part as text, null where it is absent."""
-    return F.nullif(F.element_at(parts, list(_FIELDS).index(name) + 1), F.lit(""))
+    return F.nullif(F.get(parts, list(_FIELDS).index(name) + 1), F.lit(""))
 
 
 def _number(parts: Column, name: str) -> Column:

@@ -286,6 +286,15 @@ ORACLES = {
         from documents where regexp_matches(text, '{pattern}')""" for rule, pattern in X.FORBIDDEN.items()) + ")",
     "body_blocks": r"""with b as (select article_no, regexp_replace(array_to_string(list_transform(string_split(regexp_replace(body_text, '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+$', '')), chr(10)), '^\n+|\n+$', '', 'g') as t from normalized_article)
         select article_no, cast(len(string_split(t, chr(10))) as int) as lines, cast(length(replace(t, chr(10), '')) as int) as chars from b""",
+    "accepted_records": """with recursive o as (select record_no, 'u' || canonical_url as u, 'h' || content_hash as h, row_number() over (order by record_no) as n from processed),
+        r(n, record_no, repeats, have) as (
+            select 0::bigint, null::bigint, null::bigint, []::struct(k varchar, o bigint)[] union all
+            select n, record_no, m, case when m is null then have || list_filter([{'k': u, 'o': record_no}, {'k': h, 'o': record_no}], lambda x: x.k is not null) else have end from (
+                select o.n, o.record_no, o.u, o.h, r.have, list_min(list_transform(list_filter(r.have, lambda x: x.k = o.u or x.k = o.h), lambda x: x.o)) as m from r join o on o.n = r.n + 1))
+        select record_no, repeats from r where n > 0""",
+    "budgeted_paragraphs": """with l as (select doc_id, list_filter(string_split(text, chr(10)), lambda x: length(x) > 0) as lines from documents where text is not null)
+        select doc_id, cast(len(lines) as int) as n_lines, cast(list_reduce(list_transform(lines, lambda x: {'used': length(x), 'kept': 1::bigint}),
+            lambda a, x: case when a.used + x.used <= 2000 then {'used': a.used + x.used, 'kept': a.kept + 1} else a end, {'used': 0::bigint, 'kept': 0::bigint}).kept as int) as n_kept from l""",
     "redacted_documents": r"""select doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
         'sk-[a-z]+-[A-Za-z0-9_-]{8,}', '<redacted>', 'g'), '\b(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{20,}', '<redacted>', 'g'), '\bgithub_pat_[A-Za-z0-9_]{20,}', '<redacted>', 'g'),
         '(?i)\bbearer\s+[A-Za-z0-9._~+/=-]{16,}', '<redacted>', 'g'), '\b[A-Z_]*OAUTH_TOKEN\s*=\s*\S+', '<redacted>', 'g'), 'https?://[^/\s@:]+:[^/\s]*@', '<redacted>', 'g'),
