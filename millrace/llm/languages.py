@@ -26,8 +26,8 @@ from millrace.llm.words import WORD
 #: Labelled documents per label and sentences per document that the classifier is fitted on.
 SAMPLE, SENTENCES = 150, 12
 BUCKETS, DIMENSIONS, EPOCHS, RATE, BATCH = 1 << 15, 16, 8, 1.0, 64
-#: Share of right answers among the accepted held-out sentences from which the rejection threshold is chosen.
-TARGET = 0.995
+#: Share of wrong answers that the accepted held-out sentences may have beyond the wrong labels among the surest ones.
+SLACK = 0.01
 #: A whole text is accepted at this part of the threshold of its sentences, as their mean is the safer number.
 TEXT_SHARE = 0.6
 #: Sentences that make a passage, and words (characters in scripts without blanks) a sentence needs to be judged.
@@ -104,7 +104,7 @@ class Classifier:
         if at == len(self.counts):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-        buckets = subwords(word[:60])
+        buckets = subwords(word)
         self.scores[at], self.counts[at] = self.table[buckets].sum(axis=0), len(buckets)
         return at
 
@@ -130,7 +130,7 @@ def train(texts: list[list[str]], labels: np.ndarray, codes: list[str], seed: in
     """Embeddings and softmax by stochastic gradient descent over minibatches of sentences."""
     rng = np.random.default_rng(seed)
     memo: dict[str, np.ndarray] = {}
-    features = [np.concatenate([memo[w] if w in memo else memo.setdefault(w, subwords(w[:60])) for w in t]) for t in texts]
+    features = [np.concatenate([memo[w] if w in memo else memo.setdefault(w, subwords(w)) for w in t]) for t in texts]
     embeddings, weights, bias = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.3, (DIMENSIONS, len(codes))), np.zeros(len(codes))
     steps = max(1, EPOCHS * -(-len(texts) // BATCH))
     step = 0
@@ -156,7 +156,11 @@ def train(texts: list[list[str]], labels: np.ndarray, codes: list[str], seed: in
 
 
 def calibrate(model: Classifier, texts: list[list[str]], labels: np.ndarray) -> None:
-    """Temperature by least log-loss and the rejection threshold by TARGET, both on held-out sentences."""
+    """Temperature by least log-loss and the rejection threshold by SLACK, both on held-out sentences.
+
+    Held-out labels are wrong as often as others. What the surest half of the answers contradicts is taken for that share;
+    the threshold is the least confidence down to which the accepted answers contradict hardly more.
+    """
     logits = model.logits(texts)
     losses = []
     grid = np.geomspace(0.1, 10, 41)
@@ -167,33 +171,47 @@ def calibrate(model: Classifier, texts: list[list[str]], labels: np.ndarray) ->
     confidence = model.confidence(logits)
     best, right = confidence.max(axis=1), confidence.argmax(axis=1) == labels
     order = np.argsort(-best)
-    good = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= TARGET
-    model.threshold = float(min(best[order][np.flatnonzero(good)[-1]], 0.7)) if good.any() else 0.7
+    wrong = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
+    good = np.flatnonzero(wrong <= wrong[(len(order) - 1) // 2] + SLACK)
+    model.threshold = float(best[order][good[-1]])
+
+
+def _openings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the first SENTENCES sentences of each text."""
+    for batch in batches:
+        found = pa.array([sentences(t)[:SENTENCES] for t in batch.column(2).to_pylist()], pa.list_(pa.list_(pa.string())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["key", "code", "sentences"])
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Classifier | None:
     """The classifier of a bounded sample of labelled documents: SAMPLE of each label, by the hash of their keys.
 
-    None if fewer than two languages are named. The sample's texts (at most SAMPLE times the number of languages) come
-    to the driver; nothing else does.
+    None if fewer than two languages are named. Of the sample (at most SAMPLE documents of each language) the words of the
+    first SENTENCES sentences each come to the driver; nothing else does. Every fifth document is held out: neither round
+    of training sees it.
     """
     coded = docs.select(F.col(key).alias("key"), label_code(F.col(label)).alias("code"), F.col(text).cast("string").alias("text")).where("code is not null and length(text) > 20")
     rank = F.row_number().over(Window.partitionBy("code").orderBy(F.xxhash64("key"), "key"))
     keys = coded.select("key", "code").withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("key", "code")
-    rows = sorted(coded.join(F.broadcast(keys), ["key", "code"]).collect(), key=lambda r: (r.code, r.key, r.text))
+    sampled = coded.join(F.broadcast(keys), ["key", "code"]).select("key", "code", "text")
+    kind = sampled.schema["key"].dataType.simpleString()
+    rows = sorted(sampled.mapInArrow(_openings, f"key {kind}, code string, sentences array<array<string>>").collect(), key=lambda r: (r.code, r.key, r.sentences))
     codes = sorted({r.code for r in rows})
     if len(codes) < 2:
         return None
     texts, labels, held = [], [], []
     for n, r in enumerate(rows):
-        for words in sentences(r.text)[:SENTENCES]:
+        for words in r.sentences:
             texts.append(words)
             labels.append(codes.index(r.code))
             held.append(n % 5 == 0)
     labels, held = np.array(labels), np.array(held)
     if len(texts) < 10:
         return None
-    first = train(texts, labels, codes)
+    seen = np.flatnonzero(~held)
+    if not len(seen) or not held.any():
+        seen, held = np.arange(len(texts)), np.zeros(len(texts), bool)
+    first = train([texts[i] for i in seen], labels[seen], codes)
     p = first.confidence(first.logits(texts))
     plain = p[np.arange(len(labels)), labels] >= 0.3 * p.max(axis=1)
     kept = np.flatnonzero(plain & ~held)

@@ -1,8 +1,9 @@
 """Problem 7: texts into containers of one fixed capacity.
 
 Sizes are tokens of a public tokenizer. A text longer than a container is cut into full ones and a rest; nothing else is
-split. Items are spread over shards at random, each worth about SHARD containers, so shards are alike whatever the
-keys' or sources' distribution and are packed independently of one another. Within a shard
+split. Items are spread over shards by the hash of their key and piece, each worth about SHARD containers or as many
+items as such have at most, so shards are alike whatever the keys' or sources' distribution, don't depend on how the
+rows are partitioned and are packed independently of one another. Within a shard
 Karmarkar-Karp multiway differencing merges partial partitions, the most unbalanced first, the fullest windows of one
 with the emptiest of the other, which gives windows of nearly equal sums; the number of windows starts at the least
 possible and rises while any window exceeds the capacity.
@@ -23,8 +24,10 @@ from millrace.tables import stored
 CAPACITY = 2048
 #: Containers' worth of items in a shard.
 SHARD = 128
-#: Of the generator that spreads the items; it is drawn over a stored table, so a lost task draws the same again.
-SEED = 17
+#: Tasks that the shards are spread over at most.
+TASKS = 10_000
+#: Items of a shard, where they are so small that its containers would hold more.
+ITEMS = 50_000
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -89,10 +92,11 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
     windows = max(1, -(-int(rest.sum()) // capacity), int((rest * 2 > capacity).sum()))
     while True:
         placed = differencing(rest, windows)
-        if np.bincount(placed, rest).max() <= capacity:
+        excess = np.maximum(np.bincount(placed, rest) - capacity, 0).sum()
+        if not excess:
             out[~full] = placed + full.sum()
             return out
-        windows += 1
+        windows += max(1, int(excess) // capacity)  # what doesn't fit needs that many more
 
 
 def packed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, shard: int = SHARD, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -104,22 +108,28 @@ def packed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
     """
     counts = stored(token_counts(docs, key, text, folder, vocabulary).withColumnRenamed(key, "key"))
     size = F.col("n_tokens").cast("long")
-    total = counts.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    shards = max(1, round(total / (capacity * shard)))
+    total, texts = counts.agg(F.coalesce(F.sum(size), F.lit(0)), F.count("*")).first()
+    shards = max(1, round(total / (capacity * shard)), -(-(texts + total // capacity) // ITEMS))
     full = F.when(size > 0, F.floor((size - 1) / capacity)).otherwise(F.lit(0).cast("long"))
-    pieces = counts.select("key", size.alias("size"), F.explode(F.sequence(F.lit(0).cast("long"), full)).alias("piece"))
+    # Rows of one key (repeated ones, null keys) would meet in one shard, so these are told apart by their places.
+    several = counts.groupBy(F.col("key").alias("of_key")).agg(F.count("*").alias("rows")).where("rows > 1")
+    numbered = counts.withColumn("place", F.monotonically_increasing_id()).join(several, F.col("key").eqNullSafe(F.col("of_key")), "left")
+    numbered = numbered.withColumn("row", F.when(F.col("rows").isNotNull(), F.col("place")).otherwise(F.lit(0).cast("long")))
+    pieces = numbered.select("key", "row", size.alias("size"), F.explode(F.sequence(F.lit(0).cast("long"), full)).alias("piece"))
     length = F.least(F.col("size") - F.col("piece") * capacity, F.lit(capacity))
-    items = pieces.select("key", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).alias("first_token"), length.cast("int").alias("n_tokens"), F.floor(F.rand(SEED) * shards).alias("shard"))
+    key_of = F.struct("key", "row")
+    items = pieces.select("key", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).alias("first_token"), length.cast("int").alias("n_tokens"), F.pmod(F.xxhash64(key_of, F.col("piece")), F.lit(shards)).alias("shard"))
 
     def work(table: pa.Table) -> pa.Table:
         # The order within a shard must not depend on how it was shuffled.
-        table = table.sort_by([("key", "ascending"), ("piece", "ascending")])
+        table = table.sort_by([("key", "ascending"), ("piece", "ascending"), ("n_tokens", "ascending")])
         placed = pack(table.column("n_tokens").to_numpy().astype(np.int64), capacity)
         container = pa.array(placed + table.column("shard").to_numpy() * (1 << 32), pa.int64())
         return pa.table([container, *(table.column(c) for c in ("key", "piece", "first_token", "n_tokens"))], names=["container", key, "piece", "first_token", "n_tokens"])
 
     kind = counts.schema["key"].dataType.simpleString()
-    return items.groupBy("shard").applyInArrow(work, f"container bigint, `{key}` {kind}, piece int, first_token bigint, n_tokens int")
+    # By number, so that small shards aren't packed in one task.
+    return items.repartition(min(shards, TASKS), "shard").groupBy("shard").applyInArrow(work, f"container bigint, `{key}` {kind}, piece int, first_token bigint, n_tokens int")
 
 
 def container_fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import pickle
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,26 @@ def test_cases(spark, model):
 def test_too_little_to_learn_from(spark):
     assert found(spark, None, []) == []
     assert found(spark, None, [(1, EN, None), (2, EN, "en")]) == []
+
+
+def test_long_words_are_read_whole():
+    assert len(L.subwords("x" * 1000)) > 2900
+    assert not np.array_equal(L.subwords("a" * 80 + "b" * 80), L.subwords("a" * 80 + "c" * 80))
+
+
+def test_threshold_keeps_wrong_answers_near_the_noise_of_the_labels():
+    class Fixed(L.Classifier):
+        def __init__(self, logits):
+            self.codes, self.values, self.temperature, self.threshold = ["a", "b"], logits, 1.0, 0.0
+
+        def logits(self, texts):
+            return self.values
+
+    rng = np.random.default_rng(5)
+    margin = rng.uniform(0, 8, 4000)
+    right = rng.random(4000) < 0.97 / (1 + np.exp(-margin * 0.8))  # three of a hundred labels are wrong
+    model = Fixed(np.stack([margin, np.zeros(4000)], axis=1))
+    L.calibrate(model, [["x"]] * 4000, np.where(right, 0, 1))
+    sure = model.confidence(model.values).max(axis=1)
+    kept = sure >= model.threshold
+    assert 0.5 < kept.mean() < 1 and (~right[kept]).mean() < (~right[sure >= np.median(sure)]).mean() + 2 * L.SLACK

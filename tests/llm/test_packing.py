@@ -70,3 +70,17 @@ def test_fill(spark, sf):
 @pytest.mark.parametrize("text", ["", "a", "a b  c\n\nd", "東京の作業領域"])
 def test_count_is_the_length_of_the_encoding(text):
     assert encoder().count(text) == len(encoder().encode(text))
+
+
+def test_containers_do_not_depend_on_the_partitions(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").dropDuplicates(["doc_id"])
+    some = lambda df: {tuple(r) for r in P.packed_texts(df, capacity=512, shard=16).collect()}
+    assert some(docs.repartition(7)) == some(docs.repartition(2).orderBy("text"))
+
+
+def test_many_items_of_no_size_and_one_key(spark, monkeypatch):
+    monkeypatch.setattr(P, "ITEMS", 100)
+    rows = spark.range(1000).selectExpr("cast(null as bigint) doc_id", "if(id % 10 = 0, 'word', '') text")
+    got = P.packed_texts(rows).collect()
+    shards = {r.container >> 32 for r in got}
+    assert len(got) == 1000 and len(shards) > 5 and sum(r.n_tokens for r in got) == 100
