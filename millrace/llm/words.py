@@ -24,6 +24,14 @@ class WordHashes(dict):
             self.clear()
 
 
+class LowerHashes(WordHashes):
+    """Of words in lower case, whatever their own."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word.lower().encode())
+        return value
+
+
 class SmallHashes(WordHashes):
     """Of 31 bits, which a signed 32-bit number holds; 0 for a zero byte, at least 1 for every word."""
 
