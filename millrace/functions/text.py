@@ -65,6 +65,22 @@ def article_id(source: Column, identity: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("\n", source, identity), 256), 1, 32)
 
 
+def plain_field(value: Column) -> Column:
+    """A raw field without outer blanks; empty becomes null."""
+    return F.nullif(F.regexp_replace(value, rf"^{SPACES}+|{SPACES}+$", ""), F.lit(""))
+
+
+# What begins and ends an untrusted text, and how its own text may not be spelt.
+UNTRUSTED, NEUTRAL = "UNTRUSTED_ARTICLE_BODY", "UNTRUSTED-ARTICLE-BODY"
+
+
+def untrusted_block(fields: dict[str, Column], body: Column) -> Column:
+    """Named fields on lines ("-" for null) and the body between delimiters that neither can contain."""
+    safe = lambda c: F.replace(F.coalesce(c, F.lit("-")), F.lit(UNTRUSTED), F.lit(NEUTRAL))
+    lines = [F.concat(F.lit(f"{name}: "), safe(c)) for name, c in fields.items()]
+    return F.concat_ws("\n", F.lit(f"<<<{UNTRUSTED}>>>"), *lines, F.lit("body:"), safe(body), F.lit(f"<<<END_{UNTRUSTED}>>>"))
+
+
 # Words that say nothing about a story.
 STOP_WORDS = ["a", "an", "the", "of", "to", "in", "on", "for", "and", "with", "how", "we", "is", "our", "your"]
 

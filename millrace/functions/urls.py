@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import ipaddress
 import re
+import socket
+import struct
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -26,24 +27,30 @@ INVISIBLE = "​‌‍⁠﻿­"
 _INVISIBLE = str.maketrans("", "", INVISIBLE)
 _PARTS = re.compile(r"(?P<scheme>[A-Za-z][A-Za-z0-9+.-]*)://(?P<place>[^/?#]*)(?P<path>[^?#]*)(?:\?(?P<query>[^#]*))?(?:#.*)?", re.S)
 _PLACE = re.compile(r"(?:\[(?P<six>[^\[\]]*)\]|(?P<name>[^\[\]:]*))(?::(?P<port>[0-9]*))?")
+_ZEROS = re.compile(r"\b0(?::0)+\b")
 _ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})")
+# Bytes that are never escaped, and those that a path keeps.
 _PLAIN = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-._~")
 _KEPT = _PLAIN | frozenset(b"/%:@!$&'()*+,;=")
 
 
-def _host(six: str | None, name: str | None) -> str | None:
-    if six is None:
-        return (name or "").lower().rstrip(".") or None
+def _six(text: str) -> str | None:
+    """An IPv6 address as RFC 5952 writes it: lower case, no leading zeros, the longest run of zero groups (the first of
+    equally long ones) as two colons; an embedded IPv4 address as two groups. Null for any other text."""
     try:
-        address = ipaddress.IPv6Address(six)
-    except ValueError:
+        groups = struct.unpack(">8H", socket.inet_pton(socket.AF_INET6, text))
+    except (OSError, ValueError):
         return None
-    if address.scope_id is not None:
-        return None
-    if address.ipv4_mapped is not None:
-        low = int(address) & 0xFFFFFFFF
-        return f"[::ffff:{low >> 16:x}:{low & 0xFFFF:x}]"
-    return f"[{address.compressed}]"
+    written = ":".join(f"{g:x}" for g in groups)
+    zeros = max(_ZEROS.finditer(written), key=lambda run: len(run[0]), default=None)
+    return written if zeros is None else f"{written[: zeros.start()].rstrip(':')}::{written[zeros.end() :].lstrip(':')}"
+
+
+def _host(place: re.Match) -> str | None:
+    if place["six"] is not None:
+        address = _six(place["six"])
+        return address and f"[{address}]"
+    return place["name"].lower().rstrip(".") or None
 
 
 def _path(path: str) -> str:
@@ -72,7 +79,7 @@ def canonical_url(raw: str | None) -> tuple[str | None, str | None]:
         return None, "invalid"
     scheme = parts["scheme"].lower()
     place = _PLACE.fullmatch(parts["place"])
-    host = place and scheme in PORTS and _host(place["six"], place["name"])
+    host = place and scheme in PORTS and _host(place)
     if not host or "@" in parts["place"]:
         return None, "invalid"
     port = place["port"].lstrip("0") or ("0" if place["port"] else "") if place["port"] is not None else ""

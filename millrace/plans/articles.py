@@ -12,6 +12,7 @@ from millrace.operators.greedy import first_of_kind
 from millrace.operators.leaks import PASSAGE, SHORT, shared_passages
 from millrace.operators.ranking import capped, keep_first, top_per_group
 from millrace.operators.stories import representatives, similar_classes, story_clusters, title_classes
+from millrace.plans.fragments import canonical_ctes
 from millrace.tables import stored, table
 
 #: Items kept of each source, articles researched in a run, characters of a usable body and of a paragraph budget.
@@ -163,12 +164,6 @@ def story_heads(spark: SparkSession, d: str) -> DataFrame:
     return heads.select("story", F.col("article_no").alias("representative"), "members")
 
 
-def document_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """Paragraphs with their place and the heading above them."""
-    docs = table(spark, d, "documents").select("doc_id", F.explode(X.paragraphs("text")).alias("p"))
-    return docs.select("doc_id", "p.pos", "p.section", F.length("p.text").alias("chars"))
-
-
 def budgeted_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """How many lines of a document fit into the character budget, later smaller ones included."""
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
@@ -216,7 +211,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         content_hashes, article_ids, summaries_plain, collapsed_titles, canonical_urls, records_per_site, exact_duplicates, accepted_records, unknown_items, fresh_articles, fresh_two_sided,
-        newest_per_source, research_order, keyword_hits, items_of_kinds, item_article_join, gate_outcomes, exclusion_reasons, similar_titles, page_links, story_members, story_heads, body_blocks, forbidden_traces, document_paragraphs,
+        newest_per_source, research_order, keyword_hits, items_of_kinds, item_article_join, gate_outcomes, exclusion_reasons, similar_titles, page_links, story_members, story_heads, body_blocks, forbidden_traces,
         budgeted_paragraphs, titles_in_bodies, leaked_passages, leaked_texts, redacted_documents, markup_counts,
     )
 }
@@ -243,7 +238,11 @@ _STORIES = f"""{_WORDS},
     reach(a, b) as (select article_no, article_no from normalized_article union select r.a, e.b from reach r join both_ways e on r.b = e.a),
     story as (select a as article_no, min(b) as story from reach group by a)"""
 
+_CANONICAL = canonical_ctes("select record_no as k, canonical_url as u from processed", "c")
+
 ORACLES = {
+    "canonical_urls": f"with {_CANONICAL} select k as record_no, url, problem from c",
+    "records_per_site": f"with {_CANONICAL} select regexp_extract(url, '^[a-z]+://[^/?#]*') as site, count(*) as records from c group by all",
     "content_hashes": "select article_no, sha256(body_text) as body_hash from normalized_article",
     "article_ids": """select item_no, substr(sha256(source_id || chr(10) || coalesce(url, coalesce(title, 'None') || '|' || coalesce(published_at, 'None'))), 1, 32) as made_id from collected_item""",
     "exact_duplicates": "select content_hash, min(article_no) as article_no, arg_min(source_id, article_no) as source_id from normalized_article group by content_hash",
