@@ -33,6 +33,14 @@ def normalise_instants(values: DataFrame, mirrors: DataFrame) -> DataFrame:
     return parts.select("table_name", "row_no", "mirror_id", "value", T.epoch_micros(F.col("n"), F.col("local"), F.col("zone_id")).alias("epoch_us"))
 
 
+def with_instant(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """`rows` with the instant of `value` as `name`, null where it denotes none. Zoneless values are UTC; a slashed date is
+    day first, with AM or PM month first."""
+    parts = _bound(_bound(rows, "_parts", T.components(value.cast("string"))), "_n", T.numbers(F.col("_parts"), F.lit(None).cast("boolean")))
+    local = _bound(parts, "_local", T.local_micros(F.col("_n")))
+    return local.select(*rows.columns, T.epoch_micros(F.col("_n"), F.col("_local"), F.lit(None).cast("string")).alias(name))
+
+
 def _bound(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 

@@ -16,6 +16,12 @@ def share(part: Column, digits: int = 6) -> Column:
     return F.round(F.count_if(F.coalesce(part, F.lit(False))) / F.count(F.lit(1)), digits)
 
 
+def counts_in_order(rows: DataFrame, value: str, order: list[str]) -> DataFrame:
+    """(ord, value, rows): how often each value of `order` occurs, numbered from 1; those that don't occur are left out."""
+    counts = rows.where(F.col(value).isin(order)).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("rows"))
+    return counts.select(F.array_position(F.array(*map(F.lit, order)), F.col("value")).cast("int").alias("ord"), "value", "rows")
+
+
 def upserted(state: DataFrame, changes: DataFrame, keys: list[str], first: str, last: str) -> DataFrame:
     """State after changes: a known key keeps its `first` and takes the new `last`, a new key is added, none is removed."""
     s, c = state.alias("s"), changes.alias("c")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import articles, evidence, instants, selection
+from millrace.plans import articles, evidence, instants, intake, selection
 
 FLAGSHIP = "story_heads"
-_GROUPS = [instants, articles, selection, evidence]
+_GROUPS = [instants, articles, selection, evidence, intake]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
