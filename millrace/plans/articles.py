@@ -12,7 +12,7 @@ from millrace.operators.greedy import first_of_kind
 from millrace.operators.leaks import PASSAGE, SHORT, shared_passages
 from millrace.operators.ranking import capped, keep_first, top_per_group
 from millrace.operators.stories import representatives, similar_classes, story_clusters, title_classes
-from millrace.plans.fragments import canonical_ctes
+from millrace.plans.fragments import BLANK, INVISIBLE, SUMMARY, canonical_ctes
 from millrace.tables import stored, table
 
 #: Items kept of each source, articles researched in a run, characters of a usable body and of a paragraph budget.
@@ -240,7 +240,13 @@ _STORIES = f"""{_WORDS},
 
 _CANONICAL = canonical_ctes("select record_no as k, canonical_url as u from processed", "c")
 
+_LINKS = canonical_ctes(r"select article_no as k, unnest(regexp_extract_all(body_text, 'https?://[^\s<>()\[\]\"''`]+')) as u from normalized_article", "c")
+
 ORACLES = {
+    "summaries_plain": f"select item_no, nullif(substr(trim(regexp_replace({SUMMARY}, '{BLANK}+', ' ', 'g')), 1, 400), '') as summary from collected_item",
+    "collapsed_titles": f"""select item_no, trim(regexp_replace(regexp_replace(nfc_normalize(title), '{INVISIBLE}', '', 'g'), '{BLANK}+', ' ', 'g')) as title,
+        regexp_replace(coalesce(title, ''), '{BLANK}|{INVISIBLE}', '', 'g') = '' as blank from collected_item""",
+    "page_links": f"with {_LINKS} select distinct k as article_no, url from c join normalized_article on article_no = k where url is not null and url <> canonical_url",
     "canonical_urls": f"with {_CANONICAL} select k as record_no, url, problem from c",
     "records_per_site": f"with {_CANONICAL} select regexp_extract(url, '^[a-z]+://[^/?#]*') as site, count(*) as records from c group by all",
     "content_hashes": "select article_no, sha256(body_text) as body_hash from normalized_article",

@@ -3,6 +3,13 @@
 from millrace.functions.urls import TRACKING
 
 BLANK = r"[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+INVISIBLE = r"[\x{200B}-\x{200D}\x{2060}\x{FEFF}\x{AD}]"
+_ENTITIES = [("&#x27;", "''"), ("&#39;", "''"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")]
+# The cut entity of a control character denotes nothing.
+SUMMARY = r"regexp_replace(regexp_replace(feed_summary, '<[^>]+>', ' ', 'g'), '&#x2([^0-9a-fA-F;]|$)', '\1', 'g')"
+for _entity, _character in _ENTITIES:
+    SUMMARY = f"replace({SUMMARY}, '{_entity}', '{_character}')"
+
 _NAMES = ", ".join(f"'{t}'" for t in TRACKING)
 
 

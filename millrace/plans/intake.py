@@ -9,7 +9,7 @@ from millrace.functions import text as X
 from millrace.operators.intake import outcomes
 from millrace.operators.ranking import keep_first
 from millrace.operators.rollups import counts_in_order
-from millrace.plans.fragments import BLANK, canonical_ctes
+from millrace.plans.fragments import BLANK, INVISIBLE, SUMMARY, canonical_ctes
 from millrace.sources.state import state_lines
 from millrace.tables import table
 
@@ -60,25 +60,18 @@ def state_records(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (item_outcomes, source_violations, unmatched_ids, decisions_in_order, plain_fields, state_records)}
 
 _TIMES = ["%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d", "%a, %d %b %Y %H:%M:%S GMT", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%fZ", "%Y-%m-%dT%H:%M:%S%z", "%B %d, %Y", "%d %b %Y"]
-_INVISIBLE = r"[\x{200B}-\x{200D}\x{2060}\x{FEFF}\x{AD}]"
 _PLAIN = lambda c: f"regexp_replace({c}, '^{BLANK}+|{BLANK}+$', '', 'g')"
-_ENTITIES = [("&#x27;", "''"), ("&#39;", "''"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")]
-# The cut entity of a control character denotes nothing.
-_SUMMARY = r"regexp_replace(regexp_replace(feed_summary, '<[^>]+>', ' ', 'g'), '&#x2([^0-9a-fA-F;]|$)', '\1', 'g')"
-for _entity, _character in _ENTITIES:
-    _SUMMARY = f"replace({_SUMMARY}, '{_entity}', '{_character}')"
-
 ORACLES = {
     "item_outcomes": rf"""with recursive
         page as (select article_id, canonical_url, body_text from normalized_article qualify row_number() over (partition by article_id order by article_no) = 1),
         {canonical_ctes("select item_no as k, url as u from collected_item", "asked")}, {canonical_ctes("select article_id as k, canonical_url as u from page", "told")},
-        i as (select item_no, title, published_at, trim(regexp_replace({_SUMMARY}, '{BLANK}+', ' ', 'g')) as summary, a.url as requested, a.problem, p.body_text, p.article_id is not null as fetched,
+        i as (select item_no, title, published_at, trim(regexp_replace({SUMMARY}, '{BLANK}+', ' ', 'g')) as summary, a.url as requested, a.problem, p.body_text, p.article_id is not null as fetched,
             case when regexp_extract(t.url, '^[a-z]+://[^/?#]*') = regexp_extract(a.url, '^[a-z]+://[^/?#]*') then t.url else a.url end as canonical
             from collected_item c join asked a on a.k = c.item_no left join page p using (article_id) left join told t on t.k = p.article_id),
         b as (select *, case when length(body_text) >= 200 then 'extracted' when length(summary) >= 200 then 'feed_fallback' end as body_source, sha256(case body_source when 'extracted' then body_text when 'feed_fallback' then summary end) as content_hash from i),
         known as (select * from processed where last_decision = 'included'),
-        s as (select *, case when problem = 'missing' then 'missing_url' when problem = 'invalid' then 'invalid_url' when regexp_replace(coalesce(title, ''), '{BLANK}|{_INVISIBLE}', '', 'g') = '' then 'missing_title'
-            when regexp_replace(coalesce(published_at, ''), '{BLANK}|{_INVISIBLE}', '', 'g') = '' then 'missing_published_at' when try_strptime(trim(published_at), {_TIMES}) is null then 'invalid_published_at'
+        s as (select *, case when problem = 'missing' then 'missing_url' when problem = 'invalid' then 'invalid_url' when regexp_replace(coalesce(title, ''), '{BLANK}|{INVISIBLE}', '', 'g') = '' then 'missing_title'
+            when regexp_replace(coalesce(published_at, ''), '{BLANK}|{INVISIBLE}', '', 'g') = '' then 'missing_published_at' when try_strptime(trim(published_at), {_TIMES}) is null then 'invalid_published_at'
             when body_source is null and fetched then 'body_extraction_failed' when body_source is null then 'body_fetch_failed'
             when canonical in (select canonical_url from known) or requested in (select canonical_url from known) then 'already_processed_url'
             when content_hash in (select content_hash from known where content_hash is not null) then 'already_processed_content_hash' end as before from b),
