@@ -110,6 +110,19 @@ def resolved_links(bases: pd.Series, links: pd.Series) -> pd.Series:
     return pd.Series([one(b, h) for b, h in zip(bases, links)])
 
 
+@F.pandas_udf(T.StringType())
+def joined_links(bases: pd.Series, links: pd.Series) -> pd.Series:
+    """Each link as an absolute address, seen from its page; null if it can't be one."""
+
+    def one(base, link):
+        try:
+            return urljoin(base or "", link or "") or None
+        except ValueError:
+            return None
+
+    return pd.Series([one(b, h) for b, h in zip(bases, links)], dtype=object)
+
+
 def site_of(url: Column) -> Column:
     """Scheme, host and port of a canonical URL."""
     return F.regexp_extract(url, r"^([a-z]+://[^/?#]*)", 1)

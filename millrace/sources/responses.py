@@ -7,6 +7,8 @@ rests. JSON stays in Spark (`from_json` with a fixed schema); XML and HTML are p
 
 from __future__ import annotations
 
+import html
+import json
 import re
 from xml.parsers import expat
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import stripped_markup
-from millrace.operators.instants import normalise_instants
+from millrace.operators.instants import with_instant
 from millrace.operators.ranking import keep_first, top_per_group
 
 _ENTRY = T.ArrayType(T.StructType([
@@ -102,15 +104,46 @@ _HEAD_END = re.compile(rb"</head\s*>", re.I)
 _META = re.compile(r"<meta\s+([^>]*)>", re.I)
 _ATTRIBUTE = re.compile(r"""([\w:-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title>", re.I | re.S)
+_LINKED_DATA = re.compile(r"""<script[^>]*\stype\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>""", re.I | re.S)
+# Types of linked data that are articles.
+ARTICLES = ["blogposting", "article", "newsarticle", "techarticle", "report"]
 # Names of meta elements, best first.
 HEAD_TITLES = ["og:title", "twitter:title"]
 HEAD_DATES = ["article:published_time", "og:article:published_time", "date", "datepublished", "dc.date", "publish_date"]
 HEAD_DESCRIPTIONS = ["og:description", "description", "twitter:description"]
 
 
+def _things(data) -> list[dict]:
+    """Objects of linked data: each before those of its graph, of several side by side the last first."""
+    if isinstance(data, list):
+        return [thing for one in reversed(data) for thing in _things(one)]
+    if not isinstance(data, dict):
+        return []
+    graph = data.get("@graph")
+    return [data, *(_things(graph) if isinstance(graph, list) else [])]
+
+
+def _linked_data(head: str) -> dict[str, str]:
+    """The first texts that the head's articles give for their properties."""
+    out: dict[str, str] = {}
+    for block in _LINKED_DATA.findall(head):
+        try:
+            things = _things(json.loads(block))
+        except ValueError:
+            continue
+        for thing in things:
+            types = thing.get("@type")
+            if any(isinstance(t, str) and t.lower() in ARTICLES for t in (types if isinstance(types, list) else [types])):
+                for name, value in thing.items():
+                    if isinstance(value, str) and value.strip():
+                        out.setdefault(name, " ".join(html.unescape(value).split()))
+    return out
+
+
 def page_head(body: bytes) -> dict:
-    """Title, time and description that a page declares in its head."""
+    """Title, time and description that a page declares in its head: in linked data, else in meta elements."""
     head = _HEAD_END.split(body, maxsplit=1)[0].decode("utf-8", "replace")
+    told = _linked_data(head)
     meta: dict[str, str] = {}
     for tag in _META.findall(head):
         a = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(tag)}
@@ -119,7 +152,8 @@ def page_head(body: bytes) -> dict:
             meta.setdefault(name, a["content"].strip())
     title = _TITLE.search(head)
     pick = lambda names: next((meta[n] for n in names if n in meta), None)
-    return {"title": (pick(HEAD_TITLES) or (title[1].strip() if title else None) or "")[:500] or None, "published": pick(HEAD_DATES), "description": pick(HEAD_DESCRIPTIONS)}
+    named = told.get("headline") or pick(HEAD_TITLES) or (title[1].strip() if title else None)
+    return {"title": (named or "")[:500] or None, "published": told.get("datePublished") or pick(HEAD_DATES), "description": told.get("description") or pick(HEAD_DESCRIPTIONS)}
 
 
 def _safely(parse):
@@ -191,15 +225,13 @@ def feed_items(responses: DataFrame, known: DataFrame, settings: DataFrame, entr
     """
     rows = responses.select("source_id", "url", F.explode(entries).alias("e")).select("source_id", F.col("url").alias("response"), "e.*")
     rows = rows.withColumnRenamed("categories", "entry_categories").join(settings.withColumnRenamed("categories", "settings_categories"), "source_id")
-    rows = rows.join(known.select("url").distinct(), "url", "left_anti").withColumn("row_no", F.xxhash64("source_id", "response", "pos"))
-    times = rows.select(F.lit("entry").alias("table_name"), "row_no", F.lit(None).cast("int").alias("mirror_id"), F.col("published").alias("value"))
-    none = rows.sparkSession.createDataFrame([], "mirror_id int, zone_id string")
-    dated = rows.join(normalise_instants(times, none).select("row_no", "epoch_us"), "row_no")
+    dated = with_instant(rows.join(known.select("url").distinct(), "url", "left_anti"), F.col("published"), "epoch_us")
     since = F.unix_micros(F.lit(now).cast("timestamp")) - F.col("window_days").cast("long") * 86_400_000_000
     plain = lambda c: F.transform(c, lambda x: F.replace(F.lower(F.trim(F.regexp_replace(x, r"\s+", " "))), F.lit("ß"), F.lit("ss")))
     wanted = F.col("settings_categories").isNull() | F.arrays_overlap(plain(F.col("entry_categories")), plain(F.col("settings_categories")))
     renamed = dated.where(F.coalesce(F.col("epoch_us") >= since, F.lit(undated))).where(F.coalesce(wanted, F.lit(False)))
-    kept = top_per_group(renamed, ["source_id"], 1 << 30, "response", "pos").where(F.col("rank") <= F.col("max_items"))
+    most = settings.agg(F.max("max_items")).first()[0] or 0  # one number; it lets Spark cut each source before its shuffle
+    kept = top_per_group(renamed, ["source_id"], most, "response", "pos").where(F.col("rank") <= F.col("max_items"))
     return kept.select("source_id", "rank", "title", "url", "published", "epoch_us", stripped_markup(F.col("summary")).alias("summary"))
 
 
