@@ -103,12 +103,11 @@ def shared_passages(texts: DataFrame, secrets: DataFrame, shortest: int = PASSAG
     met = marked(own, fingerprints).join(marked(secret, fingerprints).withColumnRenamed("id", "secret_id"), "print").select("id", "secret_id")
     if shortest < PASSAGE:
         short = stored(marked(secret.where(F.length("text") < PASSAGE), short_prints).withColumnRenamed("id", "secret_id"))
+        # A secret is sought by one of its grams, the one that fewest secrets have: a text without it doesn't hold the secret.
+        counts = short.groupBy("print").agg(F.count("*").alias("n"))
+        rarest = stored(short.join(counts, "print").groupBy("secret_id").agg(F.min(F.struct("n", "print")).alias("r")).select("secret_id", "r.print"))
         # A text has about as many grams as characters; all but a few are dropped before they are shuffled.
-        held = stored(marked(own, _among(_known(short))).join(short.select("print").distinct(), "print", "left_semi"))
-        # A secret meets the texts that have its rarest gram; where no text has one of its grams, none holds it whole.
-        counts = held.groupBy("print").agg(F.count("*").alias("n"))
-        rarest = short.join(counts, "print", "left").groupBy("secret_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "print")).alias("r")).where("r.n > 0")
-        met = met.unionByName(held.join(rarest.select("secret_id", "r.print"), "print").select("id", "secret_id"))
+        met = met.unionByName(marked(own, _among(_known(rarest))).join(rarest, "print").select("id", "secret_id"))
     met = stored(met.distinct())
     both = met.join(own.select("id", "text"), "id").join(secret.select(F.col("id").alias("secret_id"), F.col("text").alias("secret")), "secret_id")
     found = both.select("id", "secret_id", "text", "secret").mapInArrow(_checked, "id bigint, secret_id bigint").join(secret.select(F.col("id").alias("secret_id"), "copies"), "secret_id")
