@@ -43,6 +43,11 @@ def short_prints(text: str) -> np.ndarray:
     return np.unique(_grams(text, SHORT)) if len(text) >= SHORT else np.empty(0, np.uint64)
 
 
+def tile_prints(text: str) -> np.ndarray:
+    """Hashes of the SHORT characters at every SHORT-th place and of the last ones: together they cover the text."""
+    return np.unique(_grams(text, SHORT)[[*range(0, len(text) - SHORT, SHORT), len(text) - SHORT]]) if len(text) >= SHORT else np.empty(0, np.uint64)
+
+
 def share_passage(a: str, b: str) -> bool:
     a, b = sorted((a, b), key=len)
     known = {a[k : k + PASSAGE] for k in range(len(a) - PASSAGE + 1)}
@@ -102,12 +107,15 @@ def shared_passages(texts: DataFrame, secrets: DataFrame, shortest: int = PASSAG
     marked = lambda df, prints: df.select("id", "text").mapInArrow(_selected(prints), "id bigint, prints array<bigint>").select("id", F.explode("prints").alias("print"))
     met = marked(own, fingerprints).join(marked(secret, fingerprints).withColumnRenamed("id", "secret_id"), "print").select("id", "secret_id")
     if shortest < PASSAGE:
-        short = stored(marked(secret.where(F.length("text") < PASSAGE), short_prints).withColumnRenamed("id", "secret_id"))
-        # A secret is sought by one of its grams, the one that fewest secrets have: a text without it doesn't hold the secret.
-        counts = short.groupBy("print").agg(F.count("*").alias("n"))
-        rarest = stored(short.join(counts, "print").groupBy("secret_id").agg(F.min(F.struct("n", "print")).alias("r")).select("secret_id", "r.print"))
+        tiles = stored(marked(secret.where(F.length("text") < PASSAGE), tile_prints).withColumnRenamed("id", "secret_id"))
         # A text has about as many grams as characters; all but a few are dropped before they are shuffled.
-        met = met.unionByName(marked(own, _among(_known(rarest))).join(rarest, "print").select("id", "secret_id"))
+        held = stored(marked(own, _among(_known(tiles))).join(tiles.select("print").distinct(), "print", "left_semi"))
+        # A secret meets the texts with the tile that fewest secrets have; they must have all its tiles before texts are compared.
+        counts = tiles.groupBy("print").agg(F.count("*").alias("n"))
+        rarest = tiles.join(counts, "print").groupBy("secret_id").agg(F.min(F.struct("n", "print")).alias("r"), F.count("*").alias("tiles")).select("secret_id", "r.print", "tiles")
+        some = held.join(rarest, "print").select("id", "secret_id", "tiles")
+        whole = some.join(tiles, "secret_id").join(held, ["id", "print"]).groupBy("id", "secret_id", "tiles").agg(F.count("*").alias("had")).where("had = tiles")
+        met = met.unionByName(whole.select("id", "secret_id"))
     met = stored(met.distinct())
     both = met.join(own.select("id", "text"), "id").join(secret.select(F.col("id").alias("secret_id"), F.col("text").alias("secret")), "secret_id")
     found = both.select("id", "secret_id", "text", "secret").mapInArrow(_checked, "id bigint, secret_id bigint").join(secret.select(F.col("id").alias("secret_id"), "copies"), "secret_id")
