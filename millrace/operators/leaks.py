@@ -22,9 +22,14 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 def fingerprints(text: str) -> np.ndarray:
     """Hashes of selected grams: the least of every PASSAGE - GRAM + 1 in a row, so texts that share PASSAGE characters
     share one of them. A text shorter than that has none."""
+    return np.unique(_least_grams(text))
+
+
+def _least_grams(text: str) -> np.ndarray:
+    """The least hash of a gram for every PASSAGE characters in a row."""
     if len(text) < PASSAGE:
         return np.empty(0, np.uint64)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(_grams(text, GRAM), PASSAGE - GRAM + 1).min(axis=1))
+    return np.lib.stride_tricks.sliding_window_view(_grams(text, GRAM), PASSAGE - GRAM + 1).min(axis=1)
 
 
 def _grams(text: str, size: int) -> np.ndarray:
@@ -67,11 +72,26 @@ def _among(known: np.ndarray) -> Callable[[str], np.ndarray]:
 
     def among(text: str) -> np.ndarray:
         prints = short_prints(text)
-        return prints[(known[(prints >> np.uint64(46)).astype(np.int64)] >> ((prints >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) == 1]
+        return prints[_may_be(known, prints)]
 
     return among
 
 
+def _may_be(known: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Whether each print has its bit in `known`."""
+    return (known[(prints >> np.uint64(46)).astype(np.int64)] >> ((prints >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _passages(known: np.ndarray) -> Callable[[str], np.ndarray]:
+    """Hashes of those PASSAGE characters in a row whose fingerprint may be known."""
+
+    def passages(text: str) -> np.ndarray:
+        least = _least_grams(text)
+        return np.unique(_grams(text, PASSAGE)[_may_be(known, least)]) if len(least) else least
+
+    return passages
+
+
 def _selected(prints: Callable[[str], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +125,10 @@ def shared_passages(texts: DataFrame, secrets: DataFrame, shortest: int = PASSAG
         sides.append((stored(all_.select("id", "copy")), first))
     (members, own), (_, secret) = sides
     marked = lambda df, prints: df.select("id", "text").mapInArrow(_selected(prints), "id bigint, prints array<bigint>").select("id", F.explode("prints").alias("print"))
-    met = marked(own, fingerprints).join(marked(secret, fingerprints).withColumnRenamed("id", "secret_id"), "print").select("id", "secret_id")
+    # Fingerprints that both sides have choose the passages; only equal passages make pairs.
+    shared = marked(own, fingerprints).select("print").distinct().join(marked(secret, fingerprints).select("print").distinct(), "print")
+    passages = _passages(_known(shared))
+    met = marked(own, passages).join(marked(secret, passages).withColumnRenamed("id", "secret_id"), "print").select("id", "secret_id")
     if shortest < PASSAGE:
         tiles = stored(marked(secret.where(F.length("text") < PASSAGE), tile_prints).withColumnRenamed("id", "secret_id"))
         # A text has about as many grams as characters; all but a few are dropped before they are shuffled.
