@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from millrace.tables import stored
 SHARED_WORDS = 3
 #: Similarity 0.6 as a ratio of whole numbers, compared without rounding.
 NUMERATOR, DENOMINATOR = 3, 5
+#: (words that are sought at once, SHARED_WORDS at most; least and greatest size of the greater set). A set has some hundred
+#: groups of words at most.
+TOGETHER = [(3, 0, 33), (2, 34, 100), (1, 101, 1 << 30)]
 
 
 def title_classes(articles: DataFrame, key: str, title: str = "title") -> DataFrame:
@@ -20,25 +25,52 @@ def title_classes(articles: DataFrame, key: str, title: str = "title") -> DataFr
     return articles.select(F.col(key).alias("key"), words.alias("words")).where(F.size("words") > 0).withColumn("title_class", F.md5(F.to_json("words")))
 
 
+def _groups_of(words: Column, n: int) -> Column:
+    """(key, last) of every `n` (1 to 3) of the words: their hash and the place of the last one, from 1."""
+    word = lambda at: F.get(words, at - 1)
+    places = lambda first, left: F.sequence(first, F.size(words) - left)
+    made = lambda last, *at: F.struct(F.xxhash64(*[word(k) for k in at]).alias("key"), last.alias("last"))
+    if n == 1:
+        groups = F.transform(places(F.lit(1), 0), lambda i: made(i, i))
+    elif n == 2:
+        groups = F.flatten(F.transform(places(F.lit(1), 1), lambda i: F.transform(places(i + 1, 0), lambda j: made(j, i, j))))
+    else:
+        groups = F.flatten(F.transform(places(F.lit(1), 2), lambda i: F.flatten(F.transform(places(i + 1, 1), lambda j: F.transform(places(j + 1, 0), lambda k: made(k, i, j, k))))))
+    return F.when(F.size(words) >= n, groups)
+
+
 def similar_classes(classes: DataFrame) -> DataFrame:
     """(left_class, right_class, shared) of different classes with at least SHARED_WORDS and 3/5 of their words in common.
 
-    Only the rarest words of a title are joined: two sets with similarity s share one of the n - ceil(s n) + 1 rarest
-    words of each, so frequent words make no candidates. Every pair is then counted exactly.
+    Two sets with s words in common have the first few of these among the n - s + few rarest words of each. So titles are
+    joined by several of their rarest words at once, which are seldom the same by chance (see TOGETHER); what may be left
+    to share after these, and a bit for each word, drop most of the rest in the join. Every other pair is counted exactly.
     """
-    sets = stored(classes.select("title_class", "words").dropDuplicates(["title_class"]))
+    sets = stored(classes.select("title_class", "words").dropDuplicates(["title_class"]).withColumn("no", F.monotonically_increasing_id()))
     counts = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    each = sets.select("title_class", F.size("words").alias("size"), F.explode("words").alias("word")).join(counts, "word")
-    ranked = each.groupBy("title_class", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"))
-    prefix = F.col("size") - F.ceil(F.col("size") * NUMERATOR / DENOMINATOR) + 1
-    rare = stored(ranked.select("title_class", "size", F.explode(F.slice("w", F.lit(1), prefix.cast("int"))).alias("w")).select("title_class", "size", "w.word"))
-    a, b = rare.alias("a"), rare.alias("b")
-    fits = (F.col("a.title_class") < F.col("b.title_class")) & (F.least("a.size", "b.size") * DENOMINATOR >= F.greatest("a.size", "b.size") * NUMERATOR)
-    pairs = a.join(b, (F.col("a.word") == F.col("b.word")) & fits).select(F.col("a.title_class").alias("left_class"), F.col("b.title_class").alias("right_class")).distinct()
-    both = pairs.join(sets.select(F.col("title_class").alias("left_class"), F.col("words").alias("l")), "left_class").join(sets.select(F.col("title_class").alias("right_class"), F.col("words").alias("r")), "right_class")
+    each = sets.select("no", F.size("words").alias("size"), F.explode("words").alias("word")).where(F.col("size") >= SHARED_WORDS).join(counts, "word")
+    bits = F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(word), 64) as int)))")
+    ranked = stored(each.groupBy("no", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"), bits.alias("bits")).select("no", "size", "bits", F.col("w.word").alias("words")))
+    # NUMERATOR / (NUMERATOR + DENOMINATOR) of both sizes, at least, so of twice the size of the smaller set.
+    part, whole = NUMERATOR, NUMERATOR + DENOMINATOR
+    least = lambda total: F.greatest(F.lit(SHARED_WORDS), F.ceil(total * part / whole)).cast("int")
+    pairs = []
+    for few, low, high in TOGETHER:
+        near = ranked.where((F.col("size") <= high) & (F.col("size") * DENOMINATOR >= low * NUMERATOR))
+        keyed = lambda df, total: df.select("no", "size", "bits", F.explode(_groups_of(F.slice("words", F.lit(1), F.col("size") - least(total) + few), few)).alias("g")).select("no", "size", "bits", "g.*")
+        smaller = keyed(near, F.col("size") * 2).alias("a")
+        greater = keyed(near.where(F.col("size") >= low), F.col("size") + F.ceil(F.col("size") * NUMERATOR / DENOMINATOR)).alias("b")
+        need = least(F.col("a.size") + F.col("b.size"))
+        fits = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.no") < F.col("b.no")))
+        left = few + F.least(F.col("a.size") - F.col("a.last"), F.col("b.size") - F.col("b.last"))
+        alone = lambda x, y: F.col(f"{x}.size") - F.bit_count(F.col(f"{x}.bits").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits"))))
+        fits &= (left >= need) & (alone("a", "b") >= need) & (alone("b", "a") >= need)
+        pairs.append(smaller.join(greater, (F.col("a.key") == F.col("b.key")) & fits).select(F.col("a.no").alias("l_no"), F.col("b.no").alias("r_no")))
+    side = lambda s: sets.select(F.col("no").alias(f"{s}_no"), F.col("title_class").alias(f"{s}_class"), F.col("words").alias(s))
+    both = stored(reduce(DataFrame.union, pairs).distinct()).join(side("l"), "l_no").join(side("r"), "r_no")
     shared = F.size(F.array_intersect("l", "r"))
     alike = (shared >= SHARED_WORDS) & (shared * DENOMINATOR >= (F.size("l") + F.size("r") - shared) * NUMERATOR)
-    return both.where(alike).select("left_class", "right_class", shared.alias("shared"))
+    return both.where(alike).select(F.least("l_class", "r_class").alias("left_class"), F.greatest("l_class", "r_class").alias("right_class"), shared.alias("shared"))
 
 
 def link_edges(articles: DataFrame, links: DataFrame, key: str, url: str = "canonical_url", source: str = "source_id") -> DataFrame:
