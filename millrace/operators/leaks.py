@@ -226,11 +226,11 @@ def shared_passages(texts: DataFrame, secrets: DataFrame, shortest: int = PASSAG
         tiles = stored(secret.where(F.length("text") < PASSAGE).mapInArrow(_tiled, _FOUND))
         known_tiles = _known(tiles.select("print"), _column, size)
     found = stored(own.mapInArrow(_selected(of_secrets, theirs, known_tiles), _FOUND))
-    passages = found.where("not short")
-    met = secret.mapInArrow(_selected(of_both, _known(passages.select("print"), _column, size)), _FOUND).select(F.col("copy").alias("secret"), "sure").distinct()
-    met = passages.select("copy", "sure").distinct().join(met, "sure").select("copy", "secret")
+    passages = found.where("not short")  # one shuffle by `sure` serves to find repeats and to join
+    met = secret.mapInArrow(_selected(of_both, _known(passages.select("print"), _column, size)), _FOUND).select(F.col("copy").alias("secret"), "sure").repartition("sure").distinct()
+    met = passages.select("copy", "sure").repartition("sure").distinct().join(met, "sure").select("copy", "secret")
     if tiles is not None:
-        held = found.where("short").select("copy", "place", "sure").distinct()
+        held = found.where("short").select("copy", "place", "sure").repartition("sure").distinct()
         # A secret is sought by that of its two parts which fewest places have; it is where the other is, too.
         ends = tiles.groupBy(F.col("copy").alias("secret")).agg(F.min(F.struct("place", "sure")).alias("a"), F.max(F.struct("place", "sure")).alias("b"))
         counts = held.groupBy("sure").agg(F.count("*").alias("n"))
