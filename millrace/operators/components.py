@@ -14,10 +14,12 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
     Edges are undirected; repeated edges and self-loops are allowed, and an edge with a null end is none. No edges, no
     rows. Each round is two joins on node ids whose neighbour minima are pre-aggregated, so no node's neighbours are
     ever gathered, and it is cut from its lineage by a stored table; rounds grow with the logarithm of the longest path.
+    What `edges` is made from is read once.
     """
     e = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
-    nodes = e.select(F.col("u").alias("id")).union(e.select("v")).distinct()
-    e = stored(e.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    given = stored(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    nodes = given.select(F.col("u").alias("id")).union(given.select("v")).distinct()
+    e = given.where("u <> v")
     state = _fingerprint(e)
     while True:
         e = _small_star(_large_star(e))

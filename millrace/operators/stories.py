@@ -40,13 +40,19 @@ def _groups_of(words: Column, n: int) -> Column:
 
 
 def similar_classes(classes: DataFrame) -> DataFrame:
-    """(left_class, right_class, shared) of different classes with at least SHARED_WORDS and 3/5 of their words in common.
+    """(left_class, right_class, shared) of different classes with at least SHARED_WORDS and 3/5 of their words in common."""
+    sets = stored(classes.select("title_class", "words").dropDuplicates(["title_class"]).withColumn("no", F.monotonically_increasing_id()))
+    return similar_sets(sets, "title_class").select(F.least("l_title_class", "r_title_class").alias("left_class"), F.greatest("l_title_class", "r_title_class").alias("right_class"), "shared")
+
+
+def similar_sets(sets: DataFrame, *names: str) -> DataFrame:
+    """(l_no, r_no, shared) and the columns `names` of both, with l_ and r_ before them, of all pairs of sets with at least
+    SHARED_WORDS and 3/5 of their words in common. sets(no, words, ...): a stored table of different sets, `no` is unique.
 
     Two sets with s words in common have the first few of these among the n - s + few rarest words of each. So titles are
     joined by several of their rarest words at once, which are seldom the same by chance (see TOGETHER); what may be left
     to share after these, and a bit for each word, drop most of the rest in the join. Every other pair is counted exactly.
     """
-    sets = stored(classes.select("title_class", "words").dropDuplicates(["title_class"]).withColumn("no", F.monotonically_increasing_id()))
     counts = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     each = sets.select("no", F.size("words").alias("size"), F.explode("words").alias("word")).where(F.col("size") >= SHARED_WORDS).join(counts, "word")
     bits = F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(word), 64) as int)))")
@@ -66,11 +72,11 @@ def similar_classes(classes: DataFrame) -> DataFrame:
         alone = lambda x, y: F.col(f"{x}.size") - F.bit_count(F.col(f"{x}.bits").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits"))))
         fits &= (left >= need) & (alone("a", "b") >= need) & (alone("b", "a") >= need)
         pairs.append(smaller.join(greater, (F.col("a.key") == F.col("b.key")) & fits).select(F.col("a.no").alias("l_no"), F.col("b.no").alias("r_no")))
-    side = lambda s: sets.select(F.col("no").alias(f"{s}_no"), F.col("title_class").alias(f"{s}_class"), F.col("words").alias(s))
+    side = lambda s: sets.select(F.col("no").alias(f"{s}_no"), F.col("words").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names])
     both = stored(reduce(DataFrame.union, pairs).distinct()).join(side("l"), "l_no").join(side("r"), "r_no")
     shared = F.size(F.array_intersect("l", "r"))
     alike = (shared >= SHARED_WORDS) & (shared * DENOMINATOR >= (F.size("l") + F.size("r") - shared) * NUMERATOR)
-    return both.where(alike).select(F.least("l_class", "r_class").alias("left_class"), F.greatest("l_class", "r_class").alias("right_class"), shared.alias("shared"))
+    return both.where(alike).select("l_no", "r_no", *[f"{s}_{c}" for s in ("l", "r") for c in names], shared.alias("shared"))
 
 
 def link_edges(articles: DataFrame, links: DataFrame, key: str, url: str = "canonical_url", source: str = "source_id") -> DataFrame:
@@ -86,18 +92,24 @@ def story_clusters(articles: DataFrame, key: str = "article_id", title: str = "t
     """(key, story): articles linked through similar titles, or through their pages' `links` (see `link_edges`); `story` is
     the smallest key. Articles of one title class are a story if they have SHARED_WORDS words; an article without a title
     is a story of its own, unless it is linked."""
-    classes = stored(title_classes(articles, key, title))
-    own = classes.groupBy("title_class").agg(F.min("key").alias("head"), F.first(F.size("words")).alias("size"))
-    together = classes.join(own.where(F.col("size") >= SHARED_WORDS), "title_class").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    pairs = similar_classes(classes)
-    heads = own.select("title_class", "head")
-    across = pairs.join(heads.select(F.col("title_class").alias("left_class"), F.col("head").alias("a")), "left_class").join(heads.select(F.col("title_class").alias("right_class"), F.col("head").alias("b")), "right_class")
-    edges = together.union(across.select("a", "b"))
+    named = articles.where(F.col(key).isNotNull())
+    classes = stored(title_classes(named, key, title))
+    # A class takes part in the joins and the components under its smallest key, however many articles it has.
+    heads = stored(classes.groupBy("title_class").agg(F.min("key").alias("no"), F.first("words").alias("words")))
+    of_head = classes.select("key", "title_class").join(heads.where(F.size("words") >= SHARED_WORDS).select("title_class", F.col("no").alias("head")), "title_class").select("key", "head")
+    # A key has one title, but may have several in rows that repeat it: it joins their classes.
+    own = stored(of_head.groupBy("key").agg(F.min("head").alias("head"), F.max("head").alias("last")))
+    edges = similar_sets(heads).select(F.col("l_no").alias("a"), F.col("r_no").alias("b"))
+    edges = edges.union(of_head.join(own.where("head <> last").select("key"), "key").select("head", "key"))
     if links is not None:
-        edges = edges.union(link_edges(articles, links, key))
+        linked = link_edges(articles, links, key)
+        for end in ("a", "b"):
+            of_end = own.select(F.col("key").alias(end), F.col("head").alias("head"))
+            linked = linked.join(of_end, end, "left").withColumn(end, F.coalesce("head", end)).drop("head")
+        edges = edges.union(linked.select("a", "b"))
     roots = connected_components(edges)
-    keys = articles.select(F.col(key).alias("key")).where("key is not null").distinct()
-    return keys.join(roots.select(F.col("id").alias("key"), "root"), "key", "left").select(F.col("key").alias(key), F.coalesce("root", "key").alias("story"))
+    keys = named.select(F.col(key).alias("key")).distinct().join(own.select("key", "head"), "key", "left").select("key", F.coalesce("head", "key").alias("id"))
+    return keys.join(roots, "id", "left").select(F.col("key").alias(key), F.coalesce("root", "id").alias("story"))
 
 
 def representatives(members: DataFrame, story: str, *order: Column | str) -> DataFrame:

@@ -46,3 +46,16 @@ def test_stories_through_links(spark):
     got = {r.article_no: r.story for r in story_clusters(articles, "article_no", links=links).collect()}
     assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 1}
     assert {r.article_no: r.story for r in story_clusters(articles, "article_no").collect()} == {n: n for n in range(1, 6)}
+
+
+def test_edges_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("z", "z")], "a string, b string").mapInArrow(counted, "a string, b string")
+    assert {r.id: r.root for r in connected_components(edges).collect()} == {"a": "a", "b": "a", "c": "a", "z": "z"}
+    assert made.value == 3

@@ -49,3 +49,24 @@ def test_frequent_words_make_few_candidates(spark, monkeypatch):
     assert similar(spark, titles) == by_all_pairs(titles)
     candidates = [df.count() for df in written if df.columns == ["l_no", "r_no"]]
     assert len(candidates) == 1 and candidates[0] < 1500
+
+
+def test_classes_take_part_under_their_smallest_key(spark, monkeypatch):
+    """Stories of repeated titles, repeated keys and links against union-find; a class gives no edge for each of its articles."""
+    from tests.test_components import union_find
+
+    rng = random.Random(5)
+    names = [" ".join(rng.sample([f"w{k}" for k in range(24)], rng.choice((1, 2, 5, 6, 7)))) for _ in range(60)]
+    titles = [(key, rng.choice(names)) for key in range(400)] + [(7, names[0] + " w90 w91"), (7, names[1] + " w92 w93"), (500, None), (501, ""), (None, names[2]), (None, names[3])]
+    rng.shuffle(titles)
+    articles = spark.createDataFrame([(k, t, f"https://x.test/{k}", f"s{(k or 0) % 2}") for k, t in titles], "article_id long, title string, canonical_url string, source_id string")
+    links = spark.createDataFrame([(500, "https://x.test/33"), (12, "https://x.test/501"), (20, "https://x.test/41")], "article_id long, url string")
+    sets = [(k, frozenset(t.split())) for k, t in titles if k is not None and t]
+    near = lambda x, y: len(x & y) >= S.SHARED_WORDS and len(x & y) * 5 >= len(x | y) * 3
+    pairs = [(a, b) for a, x in sets for b, y in sets if a <= b and near(x, y)] + [(500, 33), (12, 501), (20, 41)]
+    given = []
+    monkeypatch.setattr(S, "connected_components", lambda edges, keep=S.connected_components: given.append(edges.count()) or keep(edges))
+    got = [(r.article_id, r.story) for r in S.story_clusters(articles, "article_id", links=links).collect()]
+    want = union_find(pairs)
+    assert len(got) == len(set(got)) == 402 and dict(got) == {k: want.get(k, k) for k, _ in titles if k is not None}
+    assert given[0] < 100
