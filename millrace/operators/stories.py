@@ -45,31 +45,39 @@ def similar_classes(classes: DataFrame) -> DataFrame:
     return similar_sets(sets, "title_class").select(F.least("l_title_class", "r_title_class").alias("left_class"), F.greatest("l_title_class", "r_title_class").alias("right_class"), "shared")
 
 
+def _ranked(sets: DataFrame) -> DataFrame:
+    """(no, size, bits, words): the words of a set that another one has too, the rarest first, and a bit for each of these;
+    `size` counts all of its words. A word of one set alone is in no pair, and groups with it would be shuffled in vain."""
+    each = sets.select("no", F.size("words").alias("size"), F.explode("words").alias("word")).where(F.col("size") >= SHARED_WORDS)
+    counts = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    bits = F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(word), 64) as int)))")
+    ranked = each.join(counts, "word").groupBy("no", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"), bits.alias("bits"))
+    return ranked.select("no", "size", "bits", F.col("w.word").alias("words")).where(F.size("words") >= SHARED_WORDS)
+
+
 def similar_sets(sets: DataFrame, *names: str) -> DataFrame:
     """(l_no, r_no, shared) and the columns `names` of both, with l_ and r_ before them, of all pairs of sets with at least
     SHARED_WORDS and 3/5 of their words in common. sets(no, words, ...): a stored table of different sets, `no` is unique.
 
-    Two sets with s words in common have the first few of these among the n - s + few rarest words of each. So titles are
-    joined by several of their rarest words at once, which are seldom the same by chance (see TOGETHER); what may be left
-    to share after these, and a bit for each word, drop most of the rest in the join. Every other pair is counted exactly.
+    Two sets with s words in common have the first few of these among the n - s + few rarest of the n words that each shares
+    with any set. So titles are joined by several of these at once, which are seldom the same by chance (see TOGETHER); what
+    may be left to share after these, and a bit for each word, drop most of the rest in the join. Every other pair is
+    counted exactly.
     """
-    counts = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    each = sets.select("no", F.size("words").alias("size"), F.explode("words").alias("word")).where(F.col("size") >= SHARED_WORDS).join(counts, "word")
-    bits = F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(word), 64) as int)))")
-    ranked = stored(each.groupBy("no", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"), bits.alias("bits")).select("no", "size", "bits", F.col("w.word").alias("words")))
+    ranked = stored(_ranked(sets))
     # NUMERATOR / (NUMERATOR + DENOMINATOR) of both sizes, at least, so of twice the size of the smaller set.
     part, whole = NUMERATOR, NUMERATOR + DENOMINATOR
     least = lambda total: F.greatest(F.lit(SHARED_WORDS), F.ceil(total * part / whole)).cast("int")
     pairs = []
     for few, low, high in TOGETHER:
         near = ranked.where((F.col("size") <= high) & (F.col("size") * DENOMINATOR >= low * NUMERATOR))
-        keyed = lambda df, total: df.select("no", "size", "bits", F.explode(_groups_of(F.slice("words", F.lit(1), F.col("size") - least(total) + few), few)).alias("g")).select("no", "size", "bits", "g.*")
+        keyed = lambda df, total: df.select("no", "size", F.size("words").alias("n"), "bits", F.explode(_groups_of(F.slice("words", F.lit(1), F.greatest(F.lit(0), F.size("words") - least(total) + few)), few)).alias("g")).select("no", "size", "n", "bits", "g.*")
         smaller = keyed(near, F.col("size") * 2).alias("a")
         greater = keyed(near.where(F.col("size") >= low), F.col("size") + F.ceil(F.col("size") * NUMERATOR / DENOMINATOR)).alias("b")
         need = least(F.col("a.size") + F.col("b.size"))
         fits = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.no") < F.col("b.no")))
-        left = few + F.least(F.col("a.size") - F.col("a.last"), F.col("b.size") - F.col("b.last"))
-        alone = lambda x, y: F.col(f"{x}.size") - F.bit_count(F.col(f"{x}.bits").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits"))))
+        left = few + F.least(F.col("a.n") - F.col("a.last"), F.col("b.n") - F.col("b.last"))
+        alone = lambda x, y: F.col(f"{x}.n") - F.bit_count(F.col(f"{x}.bits").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits"))))
         fits &= (left >= need) & (alone("a", "b") >= need) & (alone("b", "a") >= need)
         pairs.append(smaller.join(greater, (F.col("a.key") == F.col("b.key")) & fits).select(F.col("a.no").alias("l_no"), F.col("b.no").alias("r_no")))
     side = lambda s: sets.select(F.col("no").alias(f"{s}_no"), F.col("words").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names])
@@ -96,7 +104,7 @@ def story_clusters(articles: DataFrame, key: str = "article_id", title: str = "t
     classes = stored(title_classes(named, key, title))
     # A class takes part in the joins and the components under its smallest key, however many articles it has.
     heads = stored(classes.groupBy("title_class").agg(F.min("key").alias("no"), F.first("words").alias("words")))
-    of_head = classes.select("key", "title_class").join(heads.where(F.size("words") >= SHARED_WORDS).select("title_class", F.col("no").alias("head")), "title_class").select("key", "head")
+    of_head = stored(classes.select("key", "title_class").join(heads.where(F.size("words") >= SHARED_WORDS).select("title_class", F.col("no").alias("head")), "title_class").select("key", "head"))
     # A key has one title, but may have several in rows that repeat it: it joins their classes.
     own = stored(of_head.groupBy("key").agg(F.min("head").alias("head"), F.max("head").alias("last")))
     edges = similar_sets(heads).select(F.col("l_no").alias("a"), F.col("r_no").alias("b"))

@@ -51,6 +51,23 @@ def test_frequent_words_make_few_candidates(spark, monkeypatch):
     assert len(candidates) == 1 and candidates[0] < 1500
 
 
+def test_words_of_one_title_alone_take_no_part(spark, monkeypatch):
+    """Words that no other title has make no groups to be joined, and pairs are the same with any number of these."""
+    rng = random.Random(11)
+    titles = []
+    for n in range(120):
+        first = rng.sample([f"w{k}" for k in range(60)], rng.randrange(3, 16))
+        for m in range(3):
+            kept = [w for w in first if rng.random() < 0.9]
+            titles.append(" ".join(kept + [f"name{n}of{m}no{k}" for k in range(rng.randrange(4))]))
+    written = []
+    monkeypatch.setattr(S, "stored", lambda df, keep=S.stored: written.append(keep(df)) or written[-1])
+    want = by_all_pairs(titles)
+    assert len(want) > 50 and similar(spark, titles) == want
+    ranked = [r for df in written if "bits" in df.columns for r in df.collect()]
+    assert len(ranked) > 200 and not any(w.startswith("name") for r in ranked for w in r.words)
+
+
 def test_classes_take_part_under_their_smallest_key(spark, monkeypatch):
     """Stories of repeated titles, repeated keys and links against union-find; a class gives no edge for each of its articles."""
     from tests.test_components import union_find
