@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.tables import stored
+from millrace.tables import by_sorting, stored
 
 
 def connected_components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
         if now == state:
             break
         state = now
-    return nodes.join(e.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    return nodes.join(by_sorting(e.select(F.col("u").alias("id"), F.col("v").alias("root"))), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
 
 
 def _fingerprint(e: DataFrame) -> tuple:
@@ -39,11 +39,11 @@ def _large_star(e: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or the node itself)."""
     both = e.select("u", "v").union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(by_sorting(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, is linked to the smallest of them."""
     least = e.groupBy("u").agg(F.min("v").alias("m"))
-    linked = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+    linked = e.join(by_sorting(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
     return linked.where("u <> v").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import title_words
 from millrace.operators.components import connected_components
-from millrace.tables import stored
+from millrace.tables import by_sorting, stored
 
 SHARED_WORDS = 3
 #: Similarity 0.6 as a ratio of whole numbers, compared without rounding.
@@ -51,7 +51,7 @@ def _ranked(sets: DataFrame) -> DataFrame:
     each = sets.select("no", F.size("words").alias("size"), F.explode("words").alias("word")).where(F.col("size") >= SHARED_WORDS)
     counts = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
     bits = F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(word), 64) as int)))")
-    ranked = each.join(counts, "word").groupBy("no", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"), bits.alias("bits"))
+    ranked = each.join(by_sorting(counts), "word").groupBy("no", "size").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"), bits.alias("bits"))
     return ranked.select("no", "size", "bits", F.col("w.word").alias("words")).where(F.size("words") >= SHARED_WORDS)
 
 
@@ -79,9 +79,9 @@ def similar_sets(sets: DataFrame, *names: str) -> DataFrame:
         left = few + F.least(F.col("a.n") - F.col("a.last"), F.col("b.n") - F.col("b.last"))
         alone = lambda x, y: F.col(f"{x}.n") - F.bit_count(F.col(f"{x}.bits").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits"))))
         fits &= (left >= need) & (alone("a", "b") >= need) & (alone("b", "a") >= need)
-        pairs.append(smaller.join(greater, (F.col("a.key") == F.col("b.key")) & fits).select(F.col("a.no").alias("l_no"), F.col("b.no").alias("r_no")))
+        pairs.append(smaller.join(by_sorting(greater), (F.col("a.key") == F.col("b.key")) & fits).select(F.col("a.no").alias("l_no"), F.col("b.no").alias("r_no")))
     side = lambda s: sets.select(F.col("no").alias(f"{s}_no"), F.col("words").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names])
-    both = stored(reduce(DataFrame.union, pairs).distinct()).join(side("l"), "l_no").join(side("r"), "r_no")
+    both = stored(reduce(DataFrame.union, pairs).distinct()).join(by_sorting(side("l")), "l_no").join(by_sorting(side("r")), "r_no")
     shared = F.size(F.array_intersect("l", "r"))
     alike = (shared >= SHARED_WORDS) & (shared * DENOMINATOR >= (F.size("l") + F.size("r") - shared) * NUMERATOR)
     return both.where(alike).select("l_no", "r_no", *[f"{s}_{c}" for s in ("l", "r") for c in names], shared.alias("shared"))
@@ -92,7 +92,7 @@ def link_edges(articles: DataFrame, links: DataFrame, key: str, url: str = "cano
     of several articles with one address the last is meant. Null addresses and sources link nothing."""
     targets = articles.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("target")).agg(F.max_by(F.struct(F.col(key).alias("b"), F.col(source).alias("of")), key).alias("t"))
     own = articles.select(F.col(key).alias("a"), F.col(source).alias("own")).distinct()
-    meant = links.select(F.col(key).alias("a"), F.col("url").alias("target")).distinct().join(targets, "target").join(own, "a")
+    meant = links.select(F.col(key).alias("a"), F.col("url").alias("target")).distinct().join(by_sorting(targets), "target").join(by_sorting(own), "a")
     return meant.where("own <> t.of").select("a", F.col("t.b").alias("b")).distinct()
 
 
@@ -104,20 +104,20 @@ def story_clusters(articles: DataFrame, key: str = "article_id", title: str = "t
     classes = stored(title_classes(named, key, title))
     # A class takes part in the joins and the components under its smallest key, however many articles it has.
     heads = stored(classes.groupBy("title_class").agg(F.min("key").alias("no"), F.first("words").alias("words")))
-    of_head = stored(classes.select("key", "title_class").join(heads.where(F.size("words") >= SHARED_WORDS).select("title_class", F.col("no").alias("head")), "title_class").select("key", "head"))
+    of_head = stored(classes.select("key", "title_class").join(by_sorting(heads.where(F.size("words") >= SHARED_WORDS).select("title_class", F.col("no").alias("head"))), "title_class").select("key", "head"))
     # A key has one title, but may have several in rows that repeat it: it joins their classes.
     own = stored(of_head.groupBy("key").agg(F.min("head").alias("head"), F.max("head").alias("last")))
     edges = similar_sets(heads).select(F.col("l_no").alias("a"), F.col("r_no").alias("b"))
-    edges = edges.union(of_head.join(own.where("head <> last").select("key"), "key").select("head", "key"))
+    edges = edges.union(of_head.join(by_sorting(own.where("head <> last").select("key")), "key").select("head", "key"))
     if links is not None:
         linked = link_edges(articles, links, key)
         for end in ("a", "b"):
             of_end = own.select(F.col("key").alias(end), F.col("head").alias("head"))
-            linked = linked.join(of_end, end, "left").withColumn(end, F.coalesce("head", end)).drop("head")
+            linked = linked.join(by_sorting(of_end), end, "left").withColumn(end, F.coalesce("head", end)).drop("head")
         edges = edges.union(linked.select("a", "b"))
     roots = connected_components(edges)
-    keys = named.select(F.col(key).alias("key")).distinct().join(own.select("key", "head"), "key", "left").select("key", F.coalesce("head", "key").alias("id"))
-    return keys.join(roots, "id", "left").select(F.col("key").alias(key), F.coalesce("root", "id").alias("story"))
+    keys = named.select(F.col(key).alias("key")).distinct().join(by_sorting(own.select("key", "head")), "key", "left").select("key", F.coalesce("head", "key").alias("id"))
+    return keys.join(by_sorting(roots), "id", "left").select(F.col("key").alias(key), F.coalesce("root", "id").alias("story"))
 
 
 def representatives(members: DataFrame, story: str, *order: Column | str) -> DataFrame:

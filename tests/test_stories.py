@@ -2,6 +2,7 @@
 
 import random
 
+from millrace.operators import components
 from millrace.operators import stories as S
 
 
@@ -87,3 +88,21 @@ def test_classes_take_part_under_their_smallest_key(spark, monkeypatch):
     want = union_find(pairs)
     assert len(got) == len(set(got)) == 402 and dict(got) == {k: want.get(k, k) for k, _ in titles if k is not None}
     assert given[0] < 100
+
+
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    """Stored tables are small on the disk, and many times as large when the driver holds their exploded rows."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for module in (S, components):
+        monkeypatch.setattr(module, "stored", lambda df, keep=module.stored: keep(planned(df)))
+    titles = [f"w{k % 7} w{k % 5} w{k % 3} w{k}" for k in range(60)]
+    articles = spark.createDataFrame([(k, t, f"https://a.example/{k}", f"s{k % 2}") for k, t in enumerate(titles)], "article_id long, title string, canonical_url string, source_id string")
+    links = spark.createDataFrame([(1, "https://a.example/4")], "article_id long, url string")
+    planned(S.story_clusters(articles, links=links))
+    planned(S.similar_classes(S.title_classes(articles, "article_id")))
+    assert len(plans) > 8 and not any("Broadcast" in p for p in plans)
