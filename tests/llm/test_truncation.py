@@ -192,3 +192,16 @@ def test_texts_are_hashed_together():
 @pytest.mark.parametrize("end", [" (3 min read)", "(4 хв читання)", " #tag #other", " — Ann Lee", "\u2003-\u2003Bo", " https://x.test/a", "☀️", " 👩‍💻", "\ufe0f", " `code`"])
 def test_appendices_are_found_by_their_characters(end):
     assert T.without_appendix("A whole thing. Done." + end) == "A whole thing. Done."
+
+
+def test_crowded_texts_of_one_pattern_make_no_pairs(spark, monkeypatch):
+    """400 texts with the same beginning and the same end are no near-copies: only the cut one and its whole text are a pair."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = [f"We can't say whether one {' '.join(word() for _ in range(9))} and it is five weeks until the board ships" for _ in range(400)]
+    rows = [(k, "s", None, t) for k, t in enumerate(texts)] + [(400, "s", None, texts[7][: texts[7].index(" ships") - 2])]
+    items = spark.createDataFrame(rows, "item_no long, source_id string, title string, feed_summary string")
+    met = []
+    monkeypatch.setattr(T, "stored", lambda df, keep=T.stored: met.append(keep(df)) or met[-1])
+    assert 400 in {r.item_no for r in T.truncated_values(items).where("evidence = 'copy'").collect()}
+    assert sum(df.count() for df in met if "other_no" in df.columns) < 20
