@@ -205,3 +205,15 @@ def test_crowded_texts_of_one_pattern_make_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(T, "stored", lambda df, keep=T.stored: met.append(keep(df)) or met[-1])
     assert 400 in {r.item_no for r in T.truncated_values(items).where("evidence = 'copy'").collect()}
     assert sum(df.count() for df in met if "other_no" in df.columns) < 20
+
+
+def test_short_values_against_whole_ones(spark):
+    """Values of two to five words, or of few characters without blanks, are the beginnings of others."""
+    cut = ["Partial tool l", "How Doven traced the sandboxed…", "The release bran", "How Treven isola�", "Show: Wiflulven, the", "ドルニア：新しい依頼のたびに夜間の", "小さな組織のた", "Mio_flaiven: die Aus"]
+    whole = [c.rstrip("…�") + "x and more of it all" for c in cut[:1]] + ["How Doven traced the sandboxed queue by night", "The release branch of Kam", "How Treven isolated the log",
+             "Show: Wiflulven, the compact linter", "ドルニア：新しい依頼のたびに夜間の実行が小型のモデルを保存する話", "小さな組織のために評価する", "Mio_flaiven: die Auswertung beginnt"]
+    # A finished text, an addition after it, a number's rest, another word, and the same words.
+    no = [("Ready now.", "Ready now we go"), ("A new tool", "A new tool | Kam's site"), ("Sonnet 4", "Sonnet 4.5 is here"), ("A big cat", "A big dog is here"), ("The same words", "The Same Words"), ("Alone", "Alone at last today")]
+    rows = [(k, "a", t, None) for k, t in enumerate(cut)] + [(100 + k, "b", t, None) for k, t in enumerate(whole)]
+    rows += [(200 + 2 * k + n, "c", None, t) for k, pair in enumerate(no) for n, t in enumerate(pair)]
+    assert copies(spark, rows) == set(range(len(cut)))
